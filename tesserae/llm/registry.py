@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from tesserae.llm import idfiles, packing, sharding
+from tesserae.llm import idfiles, packing, sharding, simhash, substring_dedup, suffix_dedup
 
 
 def queries():
     return {
         "op1_packing": packing.query,
         "op3_sharding": sharding.query,
+        "op5_simhash": simhash.query,
+        "op6_suffix_array": suffix_dedup.query,
         "op9_token_files": idfiles.query,
+        "op10_substring_dedup": substring_dedup.query,
     }
 
 
