@@ -55,3 +55,27 @@ def small(df: DataFrame, limit: int) -> bool:
 def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     """``df`` with a broadcast hint if it is proven to have at most ``limit`` rows, else as it is (a shuffled join)."""
     return F.broadcast(df) if small(df, limit) else df
+
+
+def map_rows(df: DataFrame, fn, inputs: Sequence[str], schema: pa.Schema, ddl: str, carry: Sequence[str] = (), step: int = 512) -> DataFrame:
+    """``fn(*inputs)`` of each row, which gives a tuple for ``schema`` (``ddl``), beside the columns in ``carry``.
+
+    Columns in ``carry`` pass through as they are, whatever their names and types.
+    """
+    kinds = {c: df.schema[c].dataType.simpleString() for c in carry}
+    named = df.select(*(df[c].alias(f"in_{k}") for k, c in enumerate(inputs)), *(df[c].alias(f"carry_{k}") for k, c in enumerate(carry) if c not in inputs))
+    held = [f"in_{list(inputs).index(c)}" if c in inputs else f"carry_{k}" for k, c in enumerate(carry)]
+    names = [f"in_{k}" for k in range(len(inputs))]
+
+    def run(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in part:
+            for at in range(0, batch.num_rows, step):
+                piece = batch.slice(at, step)
+                made = [fn(*row) for row in slices(piece, names)]
+                new = [pa.array(c, t) for c, t in zip(zip(*made), schema.types)]
+                old = [piece.column(piece.schema.get_field_index(h)) for h in held]
+                yield pa.RecordBatch.from_arrays([*new, *old], [*(f"new_{k}" for k in range(len(new))), *(f"carry_{k}" for k in range(len(old)))])
+
+    fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
+    out = named.mapInArrow(run, ", ".join([f"new_{k} {kind}" for k, (_, kind) in enumerate(fields)] + [f"carry_{k} {kinds[c]}" for k, c in enumerate(carry)]))
+    return out.toDF(*(name for name, _ in fields), *carry)

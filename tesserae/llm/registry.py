@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tesserae.llm import idfiles, packing, sharding, simhash, substring_dedup, suffix_dedup
+from tesserae.llm import idfiles, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
 
 
 def queries():
     return {
         "op1_packing": packing.query,
         "op3_sharding": sharding.query,
+        "op4_quality": quality.query,
         "op5_simhash": simhash.query,
         "op6_suffix_array": suffix_dedup.query,
         "op9_token_files": idfiles.query,
@@ -17,4 +18,6 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op4_quality": quality.ORACLE,
+    }
