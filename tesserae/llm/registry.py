@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tesserae.llm import idfiles, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from tesserae.llm import decontamination, idfiles, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
 
 
 def queries():
     return {
         "op1_packing": packing.query,
+        "op2_decontamination": decontamination.query,
         "op3_sharding": sharding.query,
         "op4_quality": quality.query,
         "op5_simhash": simhash.query,
@@ -19,5 +20,6 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_decontamination": decontamination.ORACLE,
         "op4_quality": quality.ORACLE,
     }
