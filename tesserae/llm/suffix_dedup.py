@@ -15,9 +15,9 @@ from tesserae.llm.common import batches, materialize, slices, table
 from tesserae.llm.suffix_array import suffix_array
 
 #: Anchors with more kinds of content than this are settled by window hashes, which Spark can spread over tasks.
-GROUP_KINDS = 20_000
+GROUP_KINDS = 1_000
 #: Bytes that are suffix-sorted at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 
 def codes_of_text(text: str) -> np.ndarray:
