@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tesserae.llm import decontamination, idfiles, packing, quality, sharding, simhash, substring_dedup, suffix_dedup
+from tesserae.llm import decontamination, html_extract, idfiles, packing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 
 
 def queries():
@@ -13,6 +13,8 @@ def queries():
         "op4_quality": quality.query,
         "op5_simhash": simhash.query,
         "op6_suffix_array": suffix_dedup.query,
+        "op7_html_extraction": html_extract.query,
+        "op8_toxicity": toxicity.query,
         "op9_token_files": idfiles.query,
         "op10_substring_dedup": substring_dedup.query,
     }
