@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import batches, materialize, slices, table
@@ -57,6 +57,17 @@ def cuts(distance: int) -> list[tuple[int, int]]:
     return list(zip(edges, (b - a for a, b in zip(edges, edges[1:]))))
 
 
+def _once(differing: Column, left_out: Column, distance: int) -> Column:
+    """Whether this is the one key by which a pair is told: of the first segment that differs by a bit at most,
+    the bit that differs, or the segment's first bit if none does."""
+    out, earlier = F.lit(False), F.lit(True)
+    for first, width in cuts(distance):
+        bits = F.bit_count(F.shiftrightunsigned(differing, first).bitwiseAND(F.lit((1 << width) - 1)))
+        out = out | (left_out.between(first, first + width - 1) & earlier & ((bits == 1) | (left_out == first)))
+        earlier = earlier & (bits > 1)
+    return out
+
+
 def links(prints: DataFrame, distance: int) -> DataFrame:
     """(u, v), u < v, of the distinct fingerprints in ``prints`` (fp) that differ in 1 to ``distance`` bits.
 
@@ -72,8 +83,9 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
             variants.append(F.shiftleft(segment.bitwiseAND(F.lit(~(1 << bit) & ((1 << width) - 1))), 6).bitwiseOR(F.lit(first + bit)))
     keys = prints.select("fp", F.explode(F.array(*variants)).alias("key"))
     a, b = keys.alias("a"), keys.alias("b")
-    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
-    return a.join(b, near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct()
+    differing = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differing) <= distance) & _once(differing, F.col("a.key").bitwiseAND(F.lit(63)), distance)
+    return a.join(b, near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy: int = 256) -> DataFrame:
