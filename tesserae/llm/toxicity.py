@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import batches, map_rows, materialize, slices, table
 
 #: The model is fitted on this many labelled rows of either kind at most, those with the least hash of their doc_id.
-TOXIC_ROWS, OTHER_ROWS = 6_000, 12_000
+TOXIC_ROWS, OTHER_ROWS = 3_000, 12_000
 #: Terms considered for the lexicon, those in most contexts.
 CANDIDATES = 20_000
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 #: A term must be in so many contexts of toxic texts, be so much more frequent there, and so surely.
 CONTEXTS, RATIO, EVIDENCE = 3, 20.0, 15.0
 FUZZY, QUOTED = 0.8, 0.1
@@ -64,7 +64,6 @@ class Trie:
                 if c[0] == " ":
                     if c == " *":
                         distance = 0 if exact else 1 if edited else 2
-                        # a stem with an edit must be followed by something of the word
                     else:
                         distance = 0 if exact & end else 1 if edited & end else 2
                     if distance <= edits and (best is None or (distance, below) < (best[1], best[0])):
@@ -83,14 +82,15 @@ class Trie:
 class Lexicon:
     """Looks up words: exactly, as a stem, or misspelled."""
 
-    def __init__(self, words: list[str], stems: list[str], innocent: frozenset[str] = frozenset()):
-        self.words, self.stems, self.innocent = frozenset(words), stems, innocent
+    def __init__(self, weights: dict[str, float], innocent: frozenset[str] = frozenset()):
+        """weights: of words, and of stems, which end in a star; innocent: words that are no misspellings."""
+        words, stems = [t for t in weights if t[-1] != "*"], [t[:-1] for t in weights if t[-1] == "*"]
+        self.weights, self.words, self.stems, self.innocent = weights, frozenset(words), stems, innocent
         self.exact = Trie(words, stems)
-        self.fuzzy = Trie([w for w in words if len(w) >= 5], [s for s in stems if len(s) >= 6])
-        self.leet = Trie([w for w in words if len(w) == 4])
-        long = [w for w in words if len(w) >= 5] + [s for s in stems if len(s) >= 6]
+        self.fuzzy = Trie([w for w in words if len(w) >= 5])  # what follows a stem is free, so a stem must be exact
+        long = [w for w in words if len(w) >= 5]
         # an edit can't change both the first two and the last two letters of five or more
-        self.heads, self.tails = frozenset(w[:2] for w in long), frozenset(w[-2:] for w in words if len(w) >= 5)
+        self.heads, self.tails = frozenset(w[:2] for w in long), frozenset(w[-2:] for w in long)
         self.starts = frozenset(w[:3] for w in [*words, *stems])
         self.longest = max([0, *map(len, words)]) + 1
         self.cache: dict[str, tuple[str, int] | None] = {}
@@ -151,10 +151,10 @@ def abuse(text: str | None, lexicon: Lexicon) -> tuple[float, int, int, float]:
         return 0.0, 0, 0, 0.0
     words = text.split()
     total = quoted = 0.0
-    for at, _, edits in found:
+    for at, term, edits in found:
         q = quotation(words, at)
         quoted += q
-        total += (FUZZY if edits else 1.0) * (1 - (1 - QUOTED) * q)
+        total += lexicon.weights[term] * (FUZZY if edits else 1.0) * (1 - (1 - QUOTED) * q)
     fuzzy = sum(e > 0 for _, _, e in found)
     return total, len(found) - fuzzy, fuzzy, quoted
 
@@ -214,7 +214,7 @@ def learn(rows: DataFrame) -> tuple[Lexicon, np.ndarray]:
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not candidates or not n_other:
-        return Lexicon([], []), np.array([np.log((n_toxic + 0.5) / (n_other + 0.5)), 0.0])
+        return Lexicon({}), np.array([np.log((n_toxic + 0.5) / (n_other + 0.5)), 0.0])
     count = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("other", pa.int64())])
 
     def counted(part, of):
@@ -229,23 +229,23 @@ def learn(rows: DataFrame) -> tuple[Lexicon, np.ndarray]:
         return [(r.term, r.toxic, r.other) for r in sums.collect()]  # no more terms than there are candidates or near words
 
     stats = {t: (a, b) for t, a, b in table_of(lambda text: {t for w in set(_clean(text)) for t in _terms(w) if t in candidates})}
-    words, stems = choose(stats, n_toxic, n_other)
-    draft = Lexicon(words, stems)
+    chosen = choose(stats, n_toxic, n_other)
+    draft = Lexicon(chosen)
 
     def misspelled(text):
         return {w for raw in set((text or "").split()) if (hit := draft.find(raw)) and hit[1] for w in [raw.strip(_EDGE).lower()]}
 
     near = table_of(misspelled)
-    lexicon = Lexicon(words, stems, frozenset(t for t, a, b in near if b and (a + 0.5) / n_toxic < 5 * (b + 0.5) / n_other))
+    lexicon = Lexicon(chosen, frozenset(t for t, a, b in near if b and (a + 0.5) / n_toxic < 5 * (b + 0.5) / n_other))
     points = map_rows(rows, lambda text: (abuse(text, lexicon)[0],), ["text"], pa.schema([("x", pa.float64())]), "x double", ["toxic"])
     binned = points.groupBy(F.round("x", 1).alias("x"), "toxic").count().orderBy("x", "toxic").collect()
     return lexicon, logistic([(r.x, r.toxic, r["count"]) for r in binned])
 
 
-def choose(stats: dict[str, tuple[int, int]], n_toxic: int, n_other: int) -> tuple[list[str], list[str]]:
-    """Words and stems that tell toxic texts, of (toxic, other) texts with each term.
+def choose(stats: dict[str, tuple[int, int]], n_toxic: int, n_other: int) -> dict[str, float]:
+    """Words and stems* that tell toxic texts, of (toxic, other) texts with each term, and their weights.
 
-    Of a stem and its continuations the longer is taken if it is in nine tenths of the stem's texts, else
+    A weight is near 1 for a term that is in many toxic texts and no other. Of a stem and its continuations the longer is taken if it is in nine tenths of the stem's texts, else
     the stem alone.
     """
 
@@ -269,8 +269,11 @@ def choose(stats: dict[str, tuple[int, int]], n_toxic: int, n_other: int) -> tup
             dropped.add(stem)
         else:
             dropped.update(longer)
-    kept = sorted(good.keys() - dropped)
-    return [t for t in kept if t[-1] != "*"], [t[:-1] for t in kept if t[-1] == "*"]
+
+    def weight(a, b):
+        return float(a / (a + 4) * (1 - (b / n_other) / (a / n_toxic)))
+
+    return {t: weight(*stats[t]) for t in sorted(good.keys() - dropped)}
 
 
 def logistic(points: list[tuple[float, int, int]], ridge: float = 0.01, rounds: int = 50) -> np.ndarray:
@@ -293,13 +296,13 @@ def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, carry=("doc_id",)
     A null or empty text has no hits and gets the score of a text without any; equal texts get equal scores;
     whole texts are read; an empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast((lexicon.words, lexicon.stems, lexicon.innocent))
+    model = docs.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.innocent))
     own: list[Lexicon] = []
     a, b = map(float, beta)
 
     def one(text):
         if not own:
-            own.append(Lexicon(sorted(model.value[0]), model.value[1], model.value[2]))
+            own.append(Lexicon(*model.value))
         x, exact, fuzzy, quoted = abuse(text, own[0])
         p = float(1 / (1 + np.exp(-(a + b * np.log1p(x)))))
         return p, int(p >= 0.5), exact, fuzzy, quoted
