@@ -133,12 +133,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_docs(docs: DataFrame, target: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    at = {c: n for c, n in zip(docs.columns, names)}
-    done = assess(plain.withColumnsRenamed({at["text"]: "text", at["doc_id"]: "doc_id"}), target, threshold, ["text" if n == at["text"] else "doc_id" if n == at["doc_id"] else n for n in names])
-    held = ["text" if n == at["text"] else "doc_id" if n == at["doc_id"] else n for n in names]
-    return done.where("kept").select(*held).toDF(*docs.columns)
+    safe = {c: f"other_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    held = [safe.get(c, c) for c in docs.columns]
+    return assess(docs.withColumnsRenamed(safe), target, threshold, held).where("kept").select(*held).toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -242,6 +242,27 @@ def remove_repeats(docs: DataFrame, size: int = 400, gram: int = 64, carry: list
     return windows.remove(docs, repeated_bytes(docs, size, gram, group_kinds), _cut(size), schema, ddl, carry or [])
 
 
+def clean(docs: DataFrame, size: int = 400, gram: int = 64) -> DataFrame:
+    """``docs`` with repeated bytes cut out of text, and n_chars (if there) counted anew.
+
+    Bytes that are left of a character partly removed go with it; a null text stays null.
+    """
+
+    def cut(text, runs):
+        if text is None:
+            return None, None
+        left = _cut(size)(text, runs)[-1].decode(errors="ignore")
+        return left, len(left)
+
+    schema = pa.schema([("new_text", pa.string()), ("new_chars", pa.int64())])
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    safe = {c: f"other_{k}" for k, c in enumerate(others)}
+    renamed = docs.withColumnsRenamed(safe)
+    done = windows.remove(renamed, repeated_bytes(renamed, size, gram), cut, schema, "new_text string, new_chars long", list(safe.values()))
+    back = {"doc_id": F.col("doc_id"), "text": F.col("new_text"), "n_chars": F.col("new_chars")} | {c: F.col(n) for c, n in safe.items()}
+    return done.select(*(back[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
