@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
 
 def cuts(distance: int) -> list[tuple[int, int]]:
     """(first bit, width) of segments, so few that one of them differs by one bit at most."""
-    n = distance // 2 + 1
+    n = max(2, distance // 2 + 1)  # two at least, so that a segment and its place fit one key
     edges = [BITS * k // n for k in range(n + 1)]
     return list(zip(edges, (b - a for a, b in zip(edges, edges[1:]))))
 
