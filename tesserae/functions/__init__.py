@@ -1 +1 @@
-"""See the package README."""
+"""Column functions and vectorized scalar functions."""

@@ -1 +1 @@
-"""See the package README."""
+"""Queries over tables, and workflows that chain operators."""
