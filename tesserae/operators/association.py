@@ -60,7 +60,7 @@ def hgvs_filter(cells: DataFrame, samples: DataFrame, alpha: float, least_called
     def both(name):
         return [F.count_if((F.col(name) == 1) & F.col("is_case")).alias(f"{name}_a"), F.count_if((F.col(name) == 1) & ~F.col("is_case")).alias(f"{name}_b")]
 
-    counts = rows.groupBy("hgvs").agg(F.count_if("hom >= 0").alias("called"), *both("hom"), *both("het")).where(F.col("called") >= least_called)
+    counts = rows.groupBy("hgvs").agg(F.count_if(F.col("hom") >= 0).alias("called"), *both("hom"), *both("het")).where(F.col("called") >= least_called)
     for name in ("hom", "het"):
         counts = counts.withColumn(f"p_{name}", chi2_pvalue_udf(chi2_statistic(F.col(f"{name}_a"), F.col(f"{name}_b"), F.lit(cases), F.lit(n - cases))))
     return counts.where((F.col("p_hom") <= alpha) | (F.col("p_het") <= alpha))

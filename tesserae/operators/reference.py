@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesserae.operators.tiling import kmers
+
 TAG_LENGTH = 24
 
 
@@ -25,10 +27,9 @@ def without_inner_tags(placed: DataFrame, tags: DataFrame, tag_length: int = TAG
 
     Every k-mer of the tiles is one row of an equi-join with the tags; no pairs are tried.
     """
-    starts = F.sequence(F.lit(2), F.length("seq") - tag_length + 1)
-    grams = placed.where(F.length("seq") > tag_length).select(F.col("tag").alias("host"), "seq", F.explode(starts).alias("at"), F.length("seq").alias("n"))
-    # the last k-mer of a tile is the next tile's tag
-    inner = grams.where(F.col("at") < F.col("n") - tag_length + 1).select("host", F.expr(f"substring(seq, at, {tag_length})").alias("tagseq"))
+    grams = kmers(placed.select(F.length("seq").alias("n"), "seq"), tag_length)
+    # the first k-mer of a tile is its own tag, and the last the next tile's
+    inner = grams.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - tag_length)).select(F.col("kmer").alias("tagseq"))
     hit = inner.join(tags, "tagseq").select("tag").distinct()
     return placed.join(hit, "tag", "left_anti")
 

@@ -12,13 +12,25 @@ from pyspark.sql import functions as F
 TAG_LENGTH = 24
 
 
+def kmers(rows: DataFrame, k: int, chunk: int = 1024) -> DataFrame:
+    """(columns but seq, pos, kmer) of every k-mer of ``seq`` (ASCII).
+
+    A sequence is cut into chunks that overlap by k - 1 bases, and chunks into k-mers, so that no row
+    carries a whole sequence and no base is far from the start of its string.
+    """
+    own = [c for c in rows.columns if c != "seq"]
+    data = F.encode("seq", "UTF-8")
+    starts = F.sequence(F.lit(0), F.length("seq") - k, F.lit(chunk))
+    cut = F.transform(starts, lambda o: F.struct(o.alias("at"), F.decode(F.substring(data, o + 1, F.lit(chunk + k - 1)), "UTF-8").alias("part")))
+    parts = rows.where(F.length("seq") >= k).select(*own, F.explode(cut).alias("_c"))
+    grams = F.transform(F.sequence(F.lit(1), F.length("_c.part") - k + 1), lambda i: F.substring(F.col("_c.part"), i, F.lit(k)))
+    return parts.select(*own, F.col("_c.at").alias("_at"), F.posexplode(grams).alias("_i", "kmer")).select(*own, (F.col("_at") + F.col("_i")).alias("pos"), "kmer")
+
+
 def kmer_hits(contigs: DataFrame, tags: DataFrame, k: int = TAG_LENGTH) -> DataFrame:
     """(contig columns but seq, tag, pos) of every tag found in ``seq``, overlapping hits included: an equi-join of k-mers."""
-    starts = F.sequence(F.lit(1), F.length("seq") - k + 1)
-    own = [c for c in contigs.columns if c != "seq"]
-    grams = contigs.where(F.length("seq") >= k).select(*own, "seq", F.explode(starts).alias("_at"))
-    grams = grams.select(*own, (F.col("_at") - 1).alias("pos"), F.expr(f"substring(seq, _at, {k})").alias("tagseq"))
-    return grams.join(F.broadcast(tags) if tags.limit(1_000_001).count() <= 1_000_000 else tags, "tagseq").drop("tagseq")
+    small = tags.limit(1_000_001).count() <= 1_000_000
+    return kmers(contigs, k).join(F.broadcast(tags) if small else tags, F.col("kmer") == F.col("tagseq")).drop("kmer", "tagseq")
 
 
 def greedy_hits(hits: DataFrame, k: int = TAG_LENGTH, key: tuple[str, ...] = ("file", "sample", "phase", "seqname")) -> DataFrame:
@@ -163,7 +175,7 @@ def variants_of(tiles: DataFrame, is_ref: bool = False) -> DataFrame:
 def kept_and_dropped(tiles: DataFrame) -> DataFrame:
     """Tags placed once and tags placed more often, of each haplotype."""
     n = tiles.groupBy("sample", "phase", "tag").agg(F.count("*").alias("n"))
-    return n.groupBy("sample", "phase").agg(F.count_if("n = 1").alias("kept"), F.count_if("n > 1").alias("dropped"))
+    return n.groupBy("sample", "phase").agg(F.count_if(F.col("n") == 1).alias("kept"), F.count_if(F.col("n") > 1).alias("dropped"))
 
 
 def flatten_haplotypes(calls: DataFrame) -> DataFrame:

@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Settings of the callers whose files are known: whether unreported sites are called, and what a line must hold.
+#: Settings of the callers whose files are known: whether unreported sites are called, and what a line must hold.
 PRESETS = {
-    "complete_genomics": {"unreported_called": True, "ignore": ("CNV", "INS:ME"), "least_gq": None, "least_qual": None, "passing": ()},
+    "complete_genomics": {"unreported_called": True, "ignore": ("CNV", "INS:ME"), "least_gq": None, "least_qual": None, "passing": ("PASS",)},
     "freebayes": {"unreported_called": False, "ignore": (), "least_gq": None, "least_qual": None, "passing": ("PASS",)},
     "gatk": {"unreported_called": False, "ignore": (), "least_gq": 5, "least_qual": None, "passing": ()},
 }
