@@ -21,7 +21,7 @@ def matrix_cells(calls: DataFrame, ranked: DataFrame, kept_tags: DataFrame | Non
 
 def output_columns(tags: DataFrame) -> DataFrame:
     """(tag, outcol): tags numbered from 0 in order. A low-coverage tag keeps its number, an excluded one has none."""
-    return tags.select("tag").distinct().withColumn("outcol", F.row_number().over(Window.orderBy("tag")) - 1)
+    return tags.select("tag").distinct().withColumn("outcol", (F.row_number().over(Window.orderBy("tag")) - 1).cast("long"))
 
 
 def dense_rows(cells: DataFrame, columns: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def onehot_recode(cells: DataFrame) -> DataFrame:
     """
     top = cells.groupBy("tag", "phase").agg(F.max("value").alias("top")).where("top > 0")
     every = top.select("tag", "phase", F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("value"))
-    return every.withColumn("outcol", F.row_number().over(Window.orderBy("tag", "phase", "value")) - 1)
+    return every.withColumn("outcol", (F.row_number().over(Window.orderBy("tag", "phase", "value")) - 1).cast("long"))
 
 
 def onehot_cells(cells: DataFrame, columns: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def kmers(rows: DataFrame, k: int, chunk: int = 1024) -> DataFrame:
     cut = F.transform(starts, lambda o: F.struct(o.alias("at"), F.decode(F.substring(data, o + 1, F.lit(chunk + k - 1)), "UTF-8").alias("part")))
     parts = rows.where(F.length("seq") >= k).select(*own, F.explode(cut).alias("_c"))
     grams = F.transform(F.sequence(F.lit(1), F.length("_c.part") - k + 1), lambda i: F.substring(F.col("_c.part"), i, F.lit(k)))
-    return parts.select(*own, F.col("_c.at").alias("_at"), F.posexplode(grams).alias("_i", "kmer")).select(*own, (F.col("_at") + F.col("_i")).alias("pos"), "kmer")
+    return parts.select(*own, F.col("_c.at").alias("_at"), F.posexplode(grams).alias("_i", "kmer")).select(*own, (F.col("_at") + F.col("_i")).cast("long").alias("pos"), "kmer")
 
 
 def kmer_hits(contigs: DataFrame, tags: DataFrame, k: int = TAG_LENGTH) -> DataFrame:

@@ -370,7 +370,7 @@ NOTES = "note AS (SELECT tag, variant, CASE WHEN variant = 1 THEN '=' WHEN varia
 
 
 def _cells_sql(value):
-    return f"WITH {NOTES} SELECT hgvs, sample, phase, max({value}) AS value FROM here GROUP BY 1, 2, 3"
+    return f"WITH {NOTES} SELECT hgvs, sample, phase, max({value})::BIGINT AS value FROM here GROUP BY 1, 2, 3"
 
 
 def _ref_variants(s, d):
@@ -863,7 +863,7 @@ def drop_info(s, d):
     return _records(s, d).select("chrom", "pos", vcf.drop_info(F.col("info"), ("DP", "IMP")).alias("info"), "l_suppkey", "l_linenumber")
 
 
-@query("freq_left_join", f"WITH {RECORDS} SELECT chrom, pos, alt, CASE WHEN alt = 'T' AND pos % 7 = 0 AND ref = 'A' THEN 'rs' || pos::VARCHAR ELSE '.' END AS id, CASE WHEN alt = 'T' AND pos % 7 = 0 THEN 0.25 END AS af, l_suppkey, l_linenumber FROM rec")
+@query("freq_left_join", f"WITH {RECORDS} SELECT chrom, pos, alt, CASE WHEN alt = 'T' AND pos % 7 = 0 AND ref = 'A' THEN 'rs' || pos::VARCHAR ELSE '.' END AS id, CASE WHEN alt = 'T' AND pos % 7 = 0 THEN 0.25::DOUBLE END AS af, l_suppkey, l_linenumber FROM rec")
 def freq_left_join(s, d):
     rows = _records(s, d)
     known = rows.where("alt = 'T' and pos % 7 = 0").select("chrom", "pos", "ref", "alt").distinct().withColumn("rsid", F.concat(F.lit("rs"), F.col("pos").cast("string"))).withColumn("af", F.lit(0.25).cast("double"))
@@ -954,7 +954,7 @@ def match_chromosome(s, d):
     return filters.match_chromosome(rows).select(F.col("seqname").alias("name")).distinct()
 
 
-@query("region_lines", "SELECT regexp_replace(n_name, '^chr', '') AS seqname, n_nationkey * 10 - 5 AS \"start\", n_nationkey * 10 + 25 AS \"end\" FROM nation WHERE n_nationkey % 4 < 2 UNION ALL SELECT n_name, n_nationkey * 10 - 5, n_nationkey * 10 + 26 FROM nation WHERE n_nationkey % 4 = 2")
+@query("region_lines", "SELECT regexp_replace(n_name, '^chr', '') AS seqname, (n_nationkey * 10 - 5)::BIGINT AS \"start\", (n_nationkey * 10 + 25)::BIGINT AS \"end\" FROM nation WHERE n_nationkey % 4 < 2 UNION ALL SELECT n_name, (n_nationkey * 10 - 5)::BIGINT, (n_nationkey * 10 + 26)::BIGINT FROM nation WHERE n_nationkey % 4 = 2")
 def region_lines(s, d):
     from tesserae.sources.readers import parse_regions
 

@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample, tag, phase, hash, known)"""
     hash_ = F.max(F.concat("l_returnflag", "l_linestatus", (F.col("l_quantity").cast("int") % 3).cast("string")))
-    rows = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % N_SAMPLES).alias("sample"), (F.col("l_partkey") % 200).cast("int").alias("tag"), (F.col("l_linenumber") % 2).alias("phase")).agg(hash_.alias("hash"))
+    rows = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % N_SAMPLES).alias("sample"), (F.col("l_partkey") % 200).alias("tag"), (F.col("l_linenumber") % 2).alias("phase")).agg(hash_.alias("hash"))
     return rows.withColumn("known", ~F.col("hash").endswith("0"))
 
 
@@ -50,7 +50,7 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     heads = table(spark, sf_dir, "benchmark").select(F.substring(to_bases(F.col("text")), 1, 6).alias("tagseq")).where("tagseq not like '%n%' and length(tagseq) = 6").distinct()
-    return heads.select((F.row_number().over(Window.orderBy("tagseq")) - 1).alias("tag"), "tagseq")
+    return heads.select((F.row_number().over(Window.orderBy("tagseq")) - 1).cast("long").alias("tag"), "tagseq")
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
