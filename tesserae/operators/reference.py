@@ -27,10 +27,10 @@ def without_inner_tags(placed: DataFrame, tags: DataFrame, tag_length: int = TAG
 
     Every k-mer of the tiles is one row of an equi-join with the tags; no pairs are tried.
     """
-    grams = kmers(placed.select(F.length("seq").alias("n"), "seq"), tag_length)
-    # the first k-mer of a tile is its own tag, and the last the next tile's
-    inner = grams.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - tag_length)).select(F.col("kmer").alias("tagseq"))
-    hit = inner.join(tags, "tagseq").select("tag").distinct()
+    grams = kmers(placed.select(F.col("tag").alias("host"), F.length("seq").alias("n"), "seq"), tag_length)
+    # the last k-mer of a tile is the next tile's tag; its own stands first, or further on in a chromosome's first tile
+    inner = grams.where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - tag_length)).select("host", F.col("kmer").alias("tagseq"))
+    hit = inner.join(tags, "tagseq").where(F.col("host") != F.col("tag")).select("tag").distinct()
     return placed.join(hit, "tag", "left_anti")
 
 

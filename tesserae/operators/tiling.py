@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,20 +67,16 @@ def longest_increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def in_order(hits: DataFrame, key: tuple[str, ...] = ("file", "sample", "phase", "seqname")) -> DataFrame:
+def in_order(hits: DataFrame) -> DataFrame:
     """Hits (arrays of pos, tag) without those out of the order of tags: a longest increasing run of tags stays."""
+    at = hits.columns.index("hits")
 
-    kind = hits.schema["hits"].dataType
-
-    @F.pandas_udf(kind)
-    def keep(all_hits: pd.Series) -> pd.Series:
-        out = []
-        for own in all_hits:
-            own = list(own)
-            out.append([own[i] for i in longest_increasing([h["tag"] for h in own])])
-        return pd.Series(out, dtype=object)
+    def run(batches):
+        for batch in batches:
+            kept = [[own[i] for i in longest_increasing([h["tag"] for h in own])] for own in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(kept, batch.schema.field(at).type))
 
-    return hits.withColumn("hits", keep("hits"))
+    return hits.mapInArrow(run, hits.schema)
 
 
 def without_duplicates(hits: DataFrame) -> DataFrame:
