@@ -85,7 +85,8 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     a, b = keys.alias("a"), keys.alias("b")
     differing = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differing) <= distance) & _once(differing, F.col("a.key").bitwiseAND(F.lit(63)), distance)
-    return a.join(b, near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
+    # Spark's estimate of the index leaves out that each print has 64 rows in it, so it could choose to broadcast it
+    return a.join(b.hint("merge"), near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy: int = 256) -> DataFrame:
