@@ -59,7 +59,7 @@ def tile_matrix(lib: Library, regions: DataFrame | None = None, expand: int = 0,
     columns = matrix.output_columns(tiles)
     calls = lib.calls.join(columns.select("tag"), "tag", "left_semi")
     kept = filters.min_coverage(calls, coverage, n_samples, "matrix").select("tag").distinct() if coverage > 0 else None
-    cells = matrix.matrix_cells(calls, ranked, kept).join(columns, "tag")
+    cells = matrix.matrix_cells(calls, ranked, kept)
     notes = annotate.annotations(ranked, compared_variants(lib), lib.ref_tiles, columns)
     return cells, notes
 

@@ -31,7 +31,7 @@ def check_fasta(contigs: DataFrame) -> DataFrame:
 
 def read_tags(spark: SparkSession, path: str) -> DataFrame:
     """(tag, tagseq): lines without > are tags, numbered in order of the file, which is read whole."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: (F.length(x) > 0) & ~x.startswith(">"))
     return whole.select(F.posexplode(F.transform(lines, F.lower)).alias("tag", "tagseq"))
 

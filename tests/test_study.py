@@ -187,7 +187,7 @@ def test_files(spark, lib, world, tmp_path):
     (tmp_path / "tags.txt").write_text(">tags\n" + "\n".join(tags) + "\n")
     read = readers.haplotypes(readers.read_fasta(spark, str(tmp_path / "a.*.fa"))).collect()
     assert {(r.sample, r.phase, r.seqname): r.seq for r in read} == {("a", p, n): haplotypes["a", p][n] for p in (0, 1) for n in ref}
-    assert [r.tagseq for r in readers.read_tags(spark, str(tmp_path / "tags.txt")).orderBy("tag").collect()] == tags
+    assert [r[:] for r in readers.read_tags(spark, str(tmp_path / "tags.txt")).orderBy("tag").collect()] == list(enumerate(tags))
     kinds = {r.path.rsplit("/", 1)[1]: r.kind for r in readers.list_inputs(spark, str(tmp_path)).where("path not like '%.txt'").collect()}
     assert kinds == {"a.1.fa": "pair", "ref.fasta": "reference"}
     with pytest.raises(Exception, match="unknown kind"):
