@@ -57,10 +57,22 @@ def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if small(df, limit) else df
 
 
+def carried(carry: Sequence[str], made: Sequence[str]) -> list[str]:
+    """Names under which the columns in ``carry`` come back: _carry_ before those that the operator makes itself."""
+    return [f"_carry_{c}" if c in made else c for c in carry]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` doesn't have."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def map_rows(df: DataFrame, fn, inputs: Sequence[str], schema: pa.Schema, ddl: str, carry: Sequence[str] = (), step: int = 512) -> DataFrame:
     """``fn(*inputs)`` of each row, which gives a tuple for ``schema`` (``ddl``), beside the columns in ``carry``.
 
-    Columns in ``carry`` pass through as they are, whatever their names and types.
+    Columns in ``carry`` pass through as they are, whatever their types; ``carried`` tells their names.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in carry}
     named = df.select(*(df[c].alias(f"in_{k}") for k, c in enumerate(inputs)), *(df[c].alias(f"carry_{k}") for k, c in enumerate(carry) if c not in inputs))
@@ -78,4 +90,5 @@ def map_rows(df: DataFrame, fn, inputs: Sequence[str], schema: pa.Schema, ddl: s
 
     fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
     out = named.mapInArrow(run, ", ".join([f"new_{k} {kind}" for k, (_, kind) in enumerate(fields)] + [f"carry_{k} {kinds[c]}" for k, c in enumerate(carry)]))
-    return out.toDF(*(name for name, _ in fields), *carry)
+    made = [name for name, _ in fields]
+    return out.toDF(*made, *carried(carry, made))

@@ -102,7 +102,7 @@ def report(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5
 def clean(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """The rows of ``docs`` without any window of ``items``, with their columns."""
     found = materialize(contaminated(docs, items, window, shingle).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")), "found")
-    here = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_hash"))
+    here = docs["doc_id"].cast("long").eqNullSafe(found["_doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_hash"])
     return docs.join(broadcast_if_small(found, 500_000), here, "left_anti")
 
 

@@ -214,7 +214,8 @@ def extract(page: str | None) -> str:
 
 
 def main_text(pages: DataFrame, carry: Sequence[str] = ("page_id", "url")) -> DataFrame:
-    """text (the main text of the html) and n_chars (its code points) beside the columns in ``carry``.
+    """text (the main text of the html) and n_chars (its code points) beside the columns in ``carry`` (with _carry_
+    before a name of these).
 
     A null or empty page, or one without article text, gives an empty text; broken markup is read on as a
     browser would; equal rows get equal results; an empty table gives no rows.
@@ -225,9 +226,7 @@ def main_text(pages: DataFrame, carry: Sequence[str] = ("page_id", "url")) -> Da
         return text, len(text)
 
     schema = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
-    clash = {c: f"_carry_{c}" for c in carry if c in ("text", "n_chars")}
-    out = map_rows(pages.withColumnsRenamed(clash), one, ["html"], schema, "text string, n_chars long", [clash.get(c, c) for c in carry], step=128)
-    return out
+    return map_rows(pages, one, ["html"], schema, "text string, n_chars long", carry, step=128)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

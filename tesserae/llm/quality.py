@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import SPACE, broadcast_if_small, map_rows, slices, table
+from tesserae.llm.common import SPACE, broadcast_if_small, carried, map_rows, slices, table
 
 #: Buckets for single words, and as many for pairs.
 BUCKETS = 1 << 16
@@ -108,16 +108,15 @@ def assess(docs: DataFrame, target: DataFrame, threshold: int = THRESHOLD, carry
     fewer than 50 words, or over half of them in 3-word windows that occur twice or more in the text.
 
     Returns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ratio and n_grams (long), base_failed
-    and kept, beside the columns in ``carry``. A null or empty text has no words and fails; rows that are equal
+    and kept, beside the columns in ``carry`` (with _carry_ before a name of these). A null or empty text has no words and fails; rows that are equal
     get equal results; null doc_ids are never trusted; with no trusted row at hand all ratios are 0; an empty
     table gives no rows.
     """
     weight = docs.sparkSession.sparkContext.broadcast(weights(gram_counts(docs, target)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "n_grams"]
     schema = pa.schema([(n, pa.int64()) for n in names])
-    clash = {c: f"_{k}_{c}" for k, c in enumerate(carry) if c in [*names, "base_failed", "kept"]}
-    docs = docs.withColumnsRenamed(clash)
-    out = map_rows(docs, lambda text: measures(text, weight.value), ["text"], schema, ", ".join(f"{n} long" for n in names), [clash.get(c, c) for c in carry])
+    out = map_rows(docs, lambda text: measures(text, weight.value), ["text"], schema, ", ".join(f"{n} long" for n in names), carry)
+    out = out.toDF(*names, *carried(carry, [*names, "base_failed", "kept"]))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold * F.col("n_grams")))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import batches, materialize, slices, table
+from tesserae.llm.common import batches, fresh, materialize, slices, table
 from tesserae.llm.components import components
 
 BITS = 64
@@ -124,9 +124,10 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     kept = groups.groupBy(group.alias("g")).agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_doc"), F.col("k.text_hash").alias("_hash"))
-    marked = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_doc"]) & (marked["_key"] == kept["_hash"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_key"]).drop("_key")
+    key = fresh(docs, "_key")
+    marked = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_doc"]) & (marked[key] == kept["_hash"]), "left_semi")
+    return found.dropDuplicates(["doc_id", key]).drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import batches, materialize, slices
+from tesserae.llm.common import batches, carried, materialize, slices
 
 _MASK = (1 << 64) - 1
 #: Odd bases of the two polynomial hashes modulo 2^64.
@@ -219,7 +219,8 @@ def repeated_by_hash(docs: DataFrame, opened: DataFrame, codes: Callable[[str],
 
 
 def remove(docs: DataFrame, repeated: DataFrame, cut: Callable, schema: pa.Schema, ddl: str, carry: list[str]) -> DataFrame:
-    """``cut(text, runs)`` for every row, runs being the repeated windows; returns doc_id, its columns and ``carry``."""
+    """``cut(text, runs)`` for every row, runs being the repeated windows; returns doc_id, its columns and ``carry``
+    (with _carry_ before a name of these)."""
     runs = materialize(_runs(repeated), "runs")
     kinds = {c: docs.schema[c].dataType.simpleString() for c in carry}
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", *(F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)))
@@ -234,7 +235,8 @@ def remove(docs: DataFrame, repeated: DataFrame, cut: Callable, schema: pa.Schem
                 yield pa.RecordBatch.from_arrays([piece.column(piece.schema.get_field_index("doc_id")), *new, *old], ["doc_id", *schema.names, *(f"carry_{k}" for k in range(len(carry)))])
 
     out = attach(named, runs, "runs", "left").drop("text_hash").mapInArrow(run, f"doc_id long, {ddl}" + "".join(f", carry_{k} {kinds[c]}" for k, c in enumerate(carry)))
-    return out.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(carry)})
+    names = carried(carry, ["doc_id", *schema.names])
+    return out.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(names)})
 
 
 def covered(runs, size: int) -> list[tuple[int, int]]:

@@ -16,12 +16,12 @@ from tesserae.llm.encode import Encoder, default_path
 from tesserae.llm.suffix_array import suffix_array
 
 #: Columns whose names the operators use themselves.
-SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("fp", T.StringType()), T.StructField("runs", T.StringType()), T.StructField("kept", T.BooleanType()), T.StructField("n_chars", T.LongType())])
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("fp", T.StringType()), T.StructField("runs", T.StringType()), T.StructField("kept", T.BooleanType()), T.StructField("n_chars", T.LongType()), T.StructField("_key", T.LongType()), T.StructField("_doc", T.LongType()), T.StructField("n_words", T.StringType())])
 
 
 def rows_of(texts):
     """(doc_id, text, ...): the ids of two rows are null, and one row comes twice."""
-    rows = [(None if k in (3, 4) else k, t, "x", None, None, len(t or "")) for k, t in enumerate(texts)]
+    rows = [(None if k in (3, 4) else k, t, "x", None, None, len(t or ""), k, None, None) for k, t in enumerate(texts)]
     return [*rows, rows[0]]
 
 
@@ -168,7 +168,8 @@ def test_sharding_table(spark, docs, empty):
 def test_quality_measures(spark, docs, empty):
     target = spark.createDataFrame([(k,) for k in range(6, 30)] + [(None,)], "doc_id long")
     done = quality.assess(docs, target, carry=["doc_id", "text", "kept", "n_chars"])
-    rows = done.toDF(*(f"c{k}" for k in range(len(done.columns)))).collect()
+    assert done.columns[7:] == ["doc_id", "text", "_carry_kept", "n_chars", "base_failed", "kept"]
+    rows = done.collect()
     counts = quality.gram_counts(docs, target)
     weight = quality.weights(counts)
     raw = np.zeros(2 * quality.BUCKETS, np.int64)
@@ -276,7 +277,8 @@ def test_suffix_dedup(spark, docs, empty, kinds):
     for size, gram in ((60, 16), (400, 64)):
         expected = sorted((-1 if r.doc_id is None else r.doc_id, *x) for r, x in zip(rows, suffix_dedup.brute_force([r.text for r in rows], size)))
         done = suffix_dedup.remove_repeats(docs, size, gram, carry=["kept", "runs"], group_kinds=kinds)
-        got = [r[:] for r in done.toDF(*(f"c{k}" for k in range(len(done.columns)))).collect()]
+        assert done.columns[-2:] == ["_carry_kept", "runs"]
+        got = [r[:] for r in done.collect()]
         import hashlib
 
         assert sorted((-1 if r[0] is None else r[0], *r[1:4], hashlib.sha256(bytes(r[5])).hexdigest()) for r in got) == expected
