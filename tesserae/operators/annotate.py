@@ -54,6 +54,13 @@ def annotations(ranked: DataFrame, compared: DataFrame, ref: DataFrame, outcols:
     return spread.select("tag", "outcol", "variant", hgvs.alias("hgvs"), "seqname", position.cast("long").alias("position"), F.col("c.ref").alias("ref"), F.col("c.new").alias("new"), F.col("c.left").alias("left"))
 
 
+def reference_rows(annotated: DataFrame, ref_variants: DataFrame) -> DataFrame:
+    """One row for each change, of the reference's own variant of the tile: the change's place, with new as ref."""
+    own = ref_variants.select("tag", F.col("variant").alias("_own"))
+    rows = annotated.where(~F.col("hgvs").isin("", "=")).select("tag", "outcol", "hgvs", "seqname", "position", "ref", "left").distinct().join(own, "tag")
+    return rows.select("tag", "outcol", F.col("_own").alias("variant"), F.lit("=").alias("hgvs"), "seqname", "position", "ref", F.col("ref").alias("new"), "left")
+
+
 def hashed_annotations(annotated: DataFrame, ranked: DataFrame, digits: int = 13) -> DataFrame:
     """Rows as (tag, outcol, hash prefix, hgvs) for libraries whose numbers aren't comparable."""
     rows = annotated.where(~F.col("hgvs").isin("", "="))

@@ -83,6 +83,17 @@ def hide_no_calls(tiles: DataFrame, retain: bool = False) -> DataFrame:
     return tiles if retain else tiles.withColumn("seq", F.when(~bad, F.col("seq")))
 
 
+def spanning_candidates(variants: DataFrame, ref_tiles: DataFrame, tags: DataFrame) -> DataFrame:
+    """Variants (tag, seq) that can matter for tiles that aren't excluded.
+
+    ``ref_tiles`` (tag, next_tag, excluded). A variant of an excluded tile stays if it doesn't end with the next
+    tag, since it may then run on into a tile that isn't.
+    """
+    ends = ref_tiles.join(tags.select(F.col("tag").alias("next_tag"), F.col("tagseq").alias("_end")), "next_tag", "left").select("tag", "excluded", "_end")
+    both = variants.join(ends, "tag")
+    return both.where(~F.col("excluded") | ~F.col("seq").endswith(F.col("_end"))).drop("excluded", "_end")
+
+
 def size_guard(rows: DataFrame, a: str, b: str, most: int = 50_000, most_apart: int | None = None) -> DataFrame:
     """Rows whose two sequences are short enough, and near enough in length, to be compared."""
     ok = (F.length(a) <= most) & (F.length(b) <= most)

@@ -765,6 +765,30 @@ def annotation_rates(s, d):
     return annotate.hit_rates(rows)
 
 
+@query(
+    "spanning_candidates",
+    """WITH s AS (SELECT tag, coalesce(lead(tag) OVER (PARTITION BY seqname ORDER BY pos, tag), -1) AS next_tag, tag % 4 = 0 AS excluded FROM placed)
+    SELECT c.tag, c.hash AS seq FROM counts c JOIN s USING (tag) WHERE NOT excluded OR NOT coalesce(c.hash LIKE '%' || (next_tag % 3)::VARCHAR, true) AND next_tag >= 0""",
+    "placed",
+    "counts",
+)
+def spanning_candidates(s, d):
+    tiles = reference.successors(_placed(s, d)).select("tag", "next_tag", (F.col("tag") % 4 == 0).alias("excluded"))
+    tags = V.calls(s, d).select("tag").distinct().withColumn("tagseq", (F.col("tag") % 3).cast("string"))
+    return filters.spanning_candidates(_counts(s, d).select("tag", F.col("hash").alias("seq")), tiles, tags)
+
+
+@query(
+    "reference_rows",
+    f"WITH {NOTES} SELECT DISTINCT note.tag, 7 AS outcol, rv AS variant, '=' AS hgvs, 'c' AS seqname, length(note.hgvs)::BIGINT AS position, 'A' AS ref, 'A' AS new, 'T' AS \"left\" FROM note JOIN rv ON rv.tag = note.tag WHERE hgvs NOT IN ('', '=') AND variant < 3",
+    "numbered",
+    "ref",
+)
+def reference_rows(s, d):
+    notes = _notes(s, d).where("variant < 3").select("tag", F.lit(7).alias("outcol"), "variant", "hgvs", F.lit("c").alias("seqname"), F.length("hgvs").cast("long").alias("position"), F.lit("A").alias("ref"), F.lit("C").alias("new"), F.lit("T").alias("left"))
+    return annotate.reference_rows(notes, _ref_variants(s, d)).distinct()
+
+
 # Variant files.
 
 

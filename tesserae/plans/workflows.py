@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.operators import annotate, association, export, filters, intervals, library, matrix, pca, reference, samples as people, tiling, variants as vcf
+from tesserae.functions.sequences import chromosome_order
 from tesserae.session import materialize
 
 
@@ -102,6 +103,37 @@ def haplotypes_from_gvcf(ref: DataFrame, records: DataFrame, preset: str = "gatk
     return vcf.consensus(ref, real, mask)
 
 
+def clean_gvcf(records: DataFrame, cutoff: int, keep_missing: bool = False) -> DataFrame:
+    """Records of sufficient GQ, without those that overlap one kept before."""
+    kept = vcf.filter_gq(records, cutoff, keep_missing)
+    start, end = vcf.bed_interval()
+    placed = kept.withColumn("start", start).withColumn("end", end)
+    return intervals.drop_overlapping(placed, "chrom").drop("start", "end")
+
+
+def merge_phased_imputed(records: DataFrame, regions: DataFrame) -> DataFrame:
+    """Phased records as they are, and imputed ones that lie in the regions without calls, by allele."""
+    imputed = vcf.imputed(records)
+    start, end = vcf.bed_interval()
+    spans = imputed.withColumn("seqname", F.col("chrom")).withColumn("start", start).withColumn("end", end)
+    inside = intervals.contained(spans, regions).drop("seqname", "start", "end")
+    return vcf.merge_records(vcf.phased(records), inside)
+
+
+def annotate_records(records: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records with known ids and frequencies, and the rates at which they have them."""
+    found = vcf.with_known_ids(vcf.ref_differs(records), known)
+    return found, annotate.hit_rates(found, "chrom")
+
+
+def vcf_and_bed_to_gvcf(records: DataFrame, called: DataFrame) -> DataFrame:
+    """gVCF rows, in natural order, of variants inside the called regions and of called stretches without one."""
+    start, end = vcf.bed_interval()
+    spans = records.withColumn("seqname", F.col("chrom")).withColumn("start", start).withColumn("end", end)
+    inside = intervals.contained(spans, called).drop("seqname", "start", "end")
+    return vcf.hom_ref_fill(called, inside).orderBy(*chromosome_order(F.col("chrom")), "pos")
+
+
 def compare_calls(baseline: DataFrame, calls: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     """Counts of TP, FP and FN alleles outside of the excluded regions."""
 

@@ -122,6 +122,14 @@ def test_variant_lines(spark):
     assert counts == {"FN": 1, "TP": 1, "FP": 2}
     spans = spark.createDataFrame([("c", 0, 6)], "seqname string, start long, end long")
     assert workflows.compare_calls(records, records, spans).first().n == 3
+    cleaned = workflows.clean_gvcf(records, 3, keep_missing=True).orderBy("pos").collect()
+    assert [r.pos for r in cleaned] == [5, 9, 20]
+    found, rates = workflows.annotate_records(records, spark.createDataFrame([("c", 5, "A", "G", "rs1", 0.5)], "chrom string, pos long, ref string, alt string, rsid string, af double"))
+    assert {r.pos: r.id for r in found.collect()} == {5: "rs1", 9: ".", 10: ".", 20: "."} and {(r.chrom, r.rsid_rate) for r in rates.collect()} == {("c", 25.0), (None, 25.0)}
+    called = spark.createDataFrame([("c", 0, 20)], "seqname string, start long, end long")
+    assert [r.pos for r in workflows.vcf_and_bed_to_gvcf(records.where("pos < 6"), called).collect()] == [1, 5, 6]
+    marked = records.withColumn("line", F.when(F.col("pos") == 9, F.concat("line", F.lit("IMP"))).otherwise(F.col("line")))
+    assert sorted(r.pos for r in workflows.merge_phased_imputed(marked, called).collect()) == [5, 9, 10, 20]
     fill = variants.hom_ref_fill(spark.createDataFrame([("c", 0, 20)], "seqname string, start long, end long"), records.where("pos = 5"))
     assert sorted((r.pos, r.info) for r in fill.collect()) == [(1, "END=4"), (5, "DP=1"), (6, "END=20")]
 
