@@ -24,4 +24,6 @@ def oracle_sql():
     return {
         "op2_decontamination": decontamination.ORACLE,
         "op4_quality": quality.ORACLE,
+        "op6_suffix_array": suffix_dedup.ORACLE,
+        "op10_substring_dedup": substring_dedup.ORACLE,
     }

@@ -89,3 +89,17 @@ def brute_force(texts: list[str | None], size: int) -> list[tuple[int, int, str]
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
         out.append((len(w), len(gone), hashlib.sha256(kept).hexdigest()))
     return out
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY k) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p, true AS cut FROM again
+), word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT doc_id, count(cut) AS n_removed, coalesce(string_agg(x, ' ' ORDER BY p) FILTER (cut IS NULL), '') AS kept
+  FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""

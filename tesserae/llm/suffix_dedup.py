@@ -285,3 +285,23 @@ def brute_force(texts: list[str | None], size: int) -> list[tuple[int, int, int,
         kept = bytes(b for i, b in enumerate(d) if not gone[i])
         out.append((len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+#: Two hexadecimal digits stand for a byte.
+ORACLE = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800)
+), again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY k) > 1
+), run AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM (
+      SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM again)) GROUP BY doc_id, r
+), part AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM run
+), cut AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM part JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
