@@ -14,12 +14,12 @@ from tesserae.llm.common import SPACE, broadcast_if_small, carried, map_rows, sl
 
 #: Buckets for single words, and as many for pairs.
 BUCKETS = 1 << 16
-#: Added to the count of every bucket.
-SMOOTHING = 1
+#: Added to the trusted count of every bucket, and to the count it would have if trusted text were like the rest.
+SMOOTHING = 3
 #: Weights are whole millionths, so sums don't depend on the order of rows.
 UNIT = 1_000_000
 #: Least mean log-likelihood ratio of a document that is kept, in millionths.
-THRESHOLD = -300_000
+THRESHOLD = -250_000
 SYMBOLS = "#*$%&|<>"
 _CODES: dict[bytes, int] = {}
 
@@ -73,11 +73,16 @@ def gram_counts(docs: DataFrame, target: DataFrame) -> np.ndarray:
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
-    """Log of the trusted multinomial over the raw one, in millionths; zeros where nothing is trusted."""
-    if not counts[:, 1].sum():
+    """Log of the trusted multinomial over the raw one, in millionths; zeros where nothing is trusted.
+
+    The raw counts are scaled to the trusted text's size before both are smoothed, so a bucket that is too
+    rare to tell weighs next to nothing, whichever text its words are from.
+    """
+    raw, trusted = counts.sum(axis=0).astype(float)
+    if not trusted:
         return np.zeros(len(counts), np.int64)
-    p = (counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * len(counts))
-    return np.round(UNIT * (np.log(p[:, 1]) - np.log(p[:, 0]))).astype(np.int64)
+    expected = counts[:, 0].astype(float) * trusted / raw
+    return np.round(UNIT * (np.log(counts[:, 1] + SMOOTHING) - np.log(expected + SMOOTHING))).astype(np.int64)
 
 
 def measures(text: str | None, weight: np.ndarray) -> tuple:
@@ -156,12 +161,12 @@ WITH words AS (
   SELECT b.bucket, coalesce(n, 0) AS n, coalesce(t, 0) AS t FROM (SELECT unnest(range(131072)) AS bucket) b LEFT JOIN (
     SELECT bucket, count(*) AS n, count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) AS t FROM gram GROUP BY bucket) g USING (bucket)
 ), weight AS (
-  SELECT bucket, round(1000000 * (ln((t + 1) / (sum(t) OVER () + 131072)) - ln((n + 1) / (sum(n) OVER () + 131072))))::BIGINT AS v FROM counts
+  SELECT bucket, round(1000000 * (ln(t + 3) - ln(n::DOUBLE * sum(t) OVER () / sum(n) OVER () + 3)))::BIGINT AS v FROM counts
 ), score AS (SELECT doc_id, sum(v)::BIGINT AS ratio, count(*) AS n_grams FROM gram JOIN weight USING (bucket) GROUP BY doc_id
 ), done AS (
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(ratio, 0) AS ratio, coalesce(n_grams, 0) AS n_grams,
     n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
   FROM base LEFT JOIN hit USING (doc_id) LEFT JOIN score USING (doc_id)
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ratio, base_failed, NOT base_failed AND ratio >= -300000 * n_grams AS kept FROM done
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ratio, base_failed, NOT base_failed AND ratio >= -250000 * n_grams AS kept FROM done
 """
