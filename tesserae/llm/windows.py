@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import batches, carried, materialize, slices
 
 _MASK = (1 << 64) - 1
+#: Windows of a text that are hashed at once.
+PIECE = 1 << 22
 #: Odd bases of the two polynomial hashes modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
@@ -92,10 +94,17 @@ def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(behind[: n - size + 1], ahead[size - 1 : n])
 
 
-def segments(codes: np.ndarray, size: int, gram: int):
-    """(anchor hash, content hash, second content hash, first window, windows) of each segment, or None."""
+def segments(codes: np.ndarray, size: int, gram: int, piece: int = PIECE):
+    """(anchor hash, content hash, second content hash, first window, windows) of each segment, or None.
+
+    A very long text is taken in pieces of ``piece`` windows, which bounds the memory; a segment that is cut
+    there is two of other content, so it may only stay open where a whole one would have been settled.
+    """
     if len(codes) < size:
         return None
+    if len(codes) - size >= piece:
+        parts = [(at, segments(codes[at : at + piece + size - 1], size, gram, piece)) for at in range(0, len(codes) - size + 1, piece)]
+        return tuple(np.concatenate([p[k] + at * (k == 3) for at, p in parts]) for k in range(5))
     hashes = Hashes(codes)
     grams = hashes.every(gram)
     places = np.arange(len(grams), dtype=np.uint64)
@@ -200,11 +209,14 @@ def repeated_by_hash(docs: DataFrame, opened: DataFrame, codes: Callable[[str],
     def rows(part):
         for batch in part:
             for doc, key, text, spans in slices(batch, ["doc_id", "text_hash", "text", "spans"]):
-                hashes = Hashes(codes(text))
+                own = codes(text)
+                whole = Hashes(own) if len(own) <= PIECE else None
                 for span in spans:
-                    start = np.arange(span["first"], span["first"] + span["windows"])
+                    first, n = span["first"], span["windows"]
+                    hashes, base = (whole, 0) if whole else (Hashes(own[first : first + n - 1 + size]), first)
+                    start = np.arange(first - base, first - base + n)
                     pair = [hashes.of(start, start + size, k).view(np.int64).tolist() for k in (0, 1)]
-                    for at, one, two in zip(start.tolist(), *pair):
+                    for at, one, two in zip(range(first, first + n), *pair):
                         yield doc, key, at, span["copies"], one, two
 
     def run(part):
