@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import batches, fresh, materialize, slices, table
@@ -68,12 +68,23 @@ def _once(differing: Column, left_out: Column, distance: int) -> Column:
     return out
 
 
+def neighbours(prints: DataFrame) -> DataFrame:
+    """(u, v), u < v, of the prints that differ in one bit: with that bit cleared they are the same key, which no
+    third print has."""
+    one = F.lit(1).cast("long")
+    cleared = [F.struct(F.lit(bit).alias("bit"), F.col("fp").bitwiseAND(F.bitwise_not(F.shiftleft(one, bit))).alias("rest")) for bit in range(BITS)]
+    pairs = prints.select("fp", F.explode(F.array(*cleared)).alias("k")).groupBy("k.bit", "k.rest").agg(F.min("fp").alias("u"), F.max("fp").alias("v"))
+    return pairs.where("u < v").select("u", "v")
+
+
 def links(prints: DataFrame, distance: int) -> DataFrame:
-    """(u, v), u < v, of the distinct fingerprints in ``prints`` (fp) that differ in 1 to ``distance`` bits.
+    """(u, v), u < v, of the distinct fingerprints in ``prints`` (fp, and group) that differ in 1 to ``distance`` bits
+    and are of different groups, each pair once.
 
     Of ``distance`` // 2 + 1 segments one differs by a bit at most, so it is equal once that bit is left
-    out. Each fingerprint is indexed under every segment with each of its bits left out in turn; the index
-    is joined with itself, and what doesn't verify never leaves the join.
+    out. Each fingerprint is indexed under every segment with each of its bits left out in turn; keys that
+    only one group has are dropped, the index is joined with itself, and what doesn't verify never leaves
+    the join.
     """
     variants = []
     for first, width in cuts(distance):
@@ -81,14 +92,37 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
         for bit in range(width):
             # 64 // 2 bits at most, then 6 for the place left out
             variants.append(F.shiftleft(segment.bitwiseAND(F.lit(~(1 << bit) & ((1 << width) - 1))), 6).bitwiseOR(F.lit(first + bit)))
-    keys = prints.select("fp", F.explode(F.array(*variants)).alias("key"))
+    keys = prints.select("fp", "group", F.explode(F.array(*variants)).alias("key"))
+    same = Window.partitionBy("key")
+    keys = keys.withColumn("low", F.min("group").over(same)).withColumn("high", F.max("group").over(same)).where("low < high").drop("low", "high")
+    # Spark's estimate of the index leaves out that each print has 64 rows in it, so it could choose to broadcast it
     a, b = keys.alias("a"), keys.alias("b")
     differing = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differing) <= distance) & _once(differing, F.col("a.key").bitwiseAND(F.lit(63)), distance)
-    # Spark's estimate of the index leaves out that each print has 64 rows in it, so it could choose to broadcast it
+    near = (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & (F.col("a.group") != F.col("b.group"))
+    near = near & (F.bit_count(differing) <= distance) & _once(differing, F.col("a.key").bitwiseAND(F.lit(63)), distance)
     return a.join(b.hint("merge"), near).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
+def connected(prints: DataFrame, distance: int) -> DataFrame:
+    """(node, root) of the distinct prints (fp) that link to another at ``distance`` or fewer bits.
+
+    Prints one bit apart are joined first, which takes no pairs; a large group of near copies is mostly one
+    component then. Links are looked for between components only.
+    """
+    first = materialize(components(neighbours(prints)), "neighbours")
+    grouped = prints.join(first.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"))
+    grouped = materialize(grouped, "groups")
+    found = materialize(links(grouped, distance), "links")
+    group = grouped.select(F.col("fp").alias("u"), F.col("group").alias("gu"))
+    between = found.join(group, "u").join(group.withColumnsRenamed({"u": "v", "gu": "gv"}), "v")
+    second = materialize(components(between.select(F.col("gu").alias("u"), F.col("gv").alias("v")).distinct()), "roots")
+    both = grouped.join(second.withColumnRenamed("node", "group"), "group", "left")
+    # a print without a link has no row: neither its group nor any other print of it was joined to another
+    linked = first.select(F.col("node").alias("fp"), F.lit(True).alias("one"))
+    both = both.join(linked, "fp", "left").where(F.col("root").isNotNull() | F.col("one"))
+    return both.select(F.col("fp").alias("node"), F.coalesce("root", "group").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy: int = 256) -> DataFrame:
     """doc_id, text_hash, fp and component_id of every row.
 
@@ -99,7 +133,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy:
     """
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
-    roots = components(links(nodes.select("fp"), distance))
+    roots = materialize(connected(nodes.select("fp"), distance), "components")
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(named, "root").select("fp", "component_id", "n")

@@ -226,11 +226,44 @@ def test_links_find_every_pair(spark):
                 y ^= 1 << b
             prints.add(y - (1 << 64) if y >> 63 else y)
     for distance in (1, 3, 4, 5):
-        got = [(r.u, r.v) for r in simhash.links(spark.createDataFrame([(x,) for x in prints], "fp long"), distance).collect()]
+        got = [(r.u, r.v) for r in simhash.links(spark.createDataFrame([(x, x) for x in prints], "fp long, group long"), distance).collect()]
         assert len(got) == len(set(got))
         assert set(got) == {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= distance}
 
 
+def test_connected_prints(spark):
+    """Groups of near copies, some one bit apart and some only joined by larger steps."""
+    rng = random.Random(8)
+    prints = {0, -1}
+    for _ in range(25):
+        x = rng.getrandbits(64)
+        for _ in range(rng.choice([1, 3, 40])):
+            y = x
+            for b in rng.sample(range(64), rng.choice([0, 1, 1, 2, 3, 6])):
+                y ^= 1 << b
+            prints.add(y - (1 << 64) if y >> 63 else y)
+            if rng.random() < 0.3:
+                x = y
+    parent = {x: x for x in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    touched = set()
+    for a in prints:
+        for b in prints:
+            if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4:
+                touched |= {a, b}
+                p, q = find(a), find(b)
+                parent[max(p, q)] = min(p, q)
+    got = {r.node: r.root for r in simhash.connected(spark.createDataFrame([(x,) for x in prints], "fp long"), 4).collect()}
+    assert got == {x: find(x) for x in touched} and len(touched) > 100
+    one = {(r.u, r.v) for r in simhash.neighbours(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()}
+    assert one == {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() == 1}
+
+
 def slow_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
@@ -305,6 +338,18 @@ def test_segments_cover_all_windows():
         anchor, _, _, first, count = windows.segments(codes, 35, 8)
         assert first[0] == 0 and count.sum() == n - 34 and (first[1:] == (first + count)[:-1]).all()
     assert windows.segments(codes[:34], 35, 8) is None
+    _, one, _, first, count = windows.segments(codes, 35, 8, piece=100)
+    assert first[0] == 0 and count.sum() == n - 34 and (first[1:] == (first + count)[:-1]).all()
+
+
+def test_hashes_of_a_piece():
+    """A piece of a text has the hashes that it has within the whole."""
+    text = " ".join(random.Random(5).choice("abc") for _ in range(3000))
+    codes = substring_dedup.codes_of_words(text)
+    whole = windows.Hashes(codes)
+    for at in (0, 100, 2900):
+        part = windows.Hashes(codes[at : at + 60])
+        assert (part.every(35) == whole.every(35)[at : at + 26]).all()
 
 
 def test_decontamination(spark, docs, empty):
