@@ -39,11 +39,13 @@ def dense_rows(cells: DataFrame, columns: DataFrame) -> DataFrame:
 def onehot_recode(cells: DataFrame) -> DataFrame:
     """(tag, phase, value, outcol): indicator columns 1..max of each matrix column, absent values included.
 
-    Values 0 and -1 have no indicator.
+    Values 0 and -1 have no indicator. Numbers are running sums over the matrix's columns, so that is what one
+    task sees, not the indicators.
     """
     top = cells.groupBy("tag", "phase").agg(F.max("value").alias("top")).where("top > 0")
-    every = top.select("tag", "phase", F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("value"))
-    return every.withColumn("outcol", (F.row_number().over(Window.orderBy("tag", "phase", "value")) - 1).cast("long"))
+    before = F.sum("top").over(Window.orderBy("tag", "phase").rowsBetween(Window.unboundedPreceding, -1))
+    every = top.withColumn("_before", F.coalesce(before, F.lit(0))).select("tag", "phase", "_before", F.explode(F.sequence(F.lit(1).cast("long"), "top")).alias("value"))
+    return every.select("tag", "phase", "value", (F.col("_before") + F.col("value") - 1).cast("long").alias("outcol"))
 
 
 def onehot_cells(cells: DataFrame, columns: DataFrame) -> DataFrame:
