@@ -10,10 +10,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import batches, fresh, materialize, slices, table
+from tesserae.llm.common import batches, broadcast_if_small, fresh, materialize, slices, table
 from tesserae.llm.components import components
 
 BITS = 64
+#: Rows that may be broadcast to select the documents that stay.
+BROADCAST_ROWS = 500_000
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -156,12 +158,22 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     groups = near_duplicates(docs, shingle, distance)
     # rows of a component without any doc_id can't be told apart by it: the fingerprint stands in
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    kept = groups.groupBy(group.alias("g")).agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_doc"), F.col("k.text_hash").alias("_hash"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")
+    rows = groups.groupBy(group.alias("g"), "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    kept = rows.groupBy("g").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_doc"), F.col("k.text_hash").alias("_hash"), F.col("k.n").alias("_n"))
+    kept = materialize(kept, "kept")
     key = fresh(docs, "_key")
     marked = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_doc"]) & (marked[key] == kept["_hash"]), "left_semi")
-    return found.dropDuplicates(["doc_id", key]).drop(key)
+
+    def of(side):
+        side = broadcast_if_small(side, BROADCAST_ROWS)
+        return marked.join(side, marked["doc_id"].cast("long").eqNullSafe(side["_doc"]) & (marked[key] == side["_hash"]), "left_semi")
+
+    out = of(kept.where("_n = 1"))
+    equal = kept.where("_n > 1")
+    if not equal.isEmpty():  # only rows that are equal to another need to be shuffled, text and all, to be made one
+        out = out.unionByName(of(equal).dropDuplicates(["doc_id", key]))
+    return out.drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
