@@ -21,15 +21,17 @@ UNIT = 1_000_000
 #: Least mean log-likelihood ratio of a document that is kept, in millionths.
 THRESHOLD = -250_000
 SYMBOLS = "#*$%&|<>"
+#: Words whose codes each Python worker keeps.
+CACHE_WORDS = 150_000
 _CODES: dict[bytes, int] = {}
 
 
 def _code(word: bytes) -> int:
     code = _CODES.get(word)
     if code is None:
-        if len(_CODES) > 300_000:
-            _CODES.clear()
-        code = _CODES[word] = int.from_bytes(hashlib.md5(word).digest()[:4], "big")
+        code = int.from_bytes(hashlib.md5(word).digest()[:4], "big")
+        if len(_CODES) < CACHE_WORDS:
+            _CODES[word] = code
     return code
 
 

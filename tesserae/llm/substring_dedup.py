@@ -13,19 +13,21 @@ from pyspark.sql import functions as F
 from tesserae.llm import windows
 from tesserae.llm.common import materialize, table
 
+#: Words whose codes each Python worker keeps.
+CACHE_WORDS = 150_000
 _SEEN: dict[bytes, int] = {}
 
 
 def codes_of_words(text: str) -> np.ndarray:
     """64-bit codes of the words of ``text``, the runs between ASCII white space."""
     words, seen = text.encode().split(), _SEEN
-    if len(seen) > 300_000:
-        seen.clear()
     out = np.empty(len(words), np.uint64)
     for k, w in enumerate(words):
         code = seen.get(w)
         if code is None:
-            code = seen[w] = xxhash.xxh3_64_intdigest(w)
+            code = xxhash.xxh3_64_intdigest(w)
+            if len(seen) < CACHE_WORDS:
+                seen[w] = code
         out[k] = code
     return out
 
