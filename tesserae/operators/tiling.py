@@ -11,17 +11,19 @@ from pyspark.sql import functions as F
 TAG_LENGTH = 24
 
 
-def kmers(rows: DataFrame, k: int, chunk: int = 1024) -> DataFrame:
+def kmers(rows: DataFrame, k: int, chunk: int = 256) -> DataFrame:
     """(columns but seq, pos, kmer) of every k-mer of ``seq`` (ASCII).
 
     A sequence is cut into chunks that overlap by k - 1 bases, and chunks into k-mers, so that no row
-    carries a whole sequence and no base is far from the start of its string.
+    carries a whole sequence and no base is far from the start of its string. Chunks are dealt out before
+    they are cut, so one long chromosome is the work of many tasks.
     """
     own = [c for c in rows.columns if c != "seq"]
     data = F.encode("seq", "UTF-8")
     starts = F.sequence(F.lit(0), F.length("seq") - k, F.lit(chunk))
     cut = F.transform(starts, lambda o: F.struct(o.alias("at"), F.decode(F.substring(data, o + 1, F.lit(chunk + k - 1)), "UTF-8").alias("part")))
     parts = rows.where(F.length("seq") >= k).select(*own, F.explode(cut).alias("_c"))
+    parts = parts.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *own, "_c.at")
     grams = F.transform(F.sequence(F.lit(1), F.length("_c.part") - k + 1), lambda i: F.substring(F.col("_c.part"), i, F.lit(k)))
     return parts.select(*own, F.col("_c.at").alias("_at"), F.posexplode(grams).alias("_i", "kmer")).select(*own, (F.col("_at") + F.col("_i")).cast("long").alias("pos"), "kmer")
 
