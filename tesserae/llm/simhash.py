@@ -18,18 +18,23 @@ BITS = 64
 BROADCAST_ROWS = 500_000
 
 
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """64-bit hashes of all runs of ``shingle`` words in order; of all words together if there are fewer."""
+    hash_of = xxhash.xxh64_intdigest
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([hash_of(joined, 42)], "<u8")
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = [0, *ends[: len(words) - shingle].tolist()]
+    return np.array([hash_of(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())], "<u8")
+
+
 def fingerprint(text: str | None, shingle: int) -> int:
     """Signed 64-bit SimHash of the text's word shingles, each counted as often as it occurs."""
     words = (text or "").encode().lower().split()
     if not words:
         return 0
-    hash_of = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return np.uint64(hash_of(b" ".join(words), 42)).astype(np.int64).item()
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[: len(words) - shingle].tolist()]
-    hashes = np.array([hash_of(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())], "<u8")
+    hashes = shingle_hashes(words, shingle)
     set_in = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         set_in += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -136,9 +141,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy:
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
     roots = materialize(connected(nodes.select("fp"), distance), "components")
+    return named(prints, nodes, roots, heavy)
+
+
+def named(prints: DataFrame, nodes: DataFrame, roots: DataFrame, heavy: int = 256) -> DataFrame:
+    """doc_id, text_hash, fp and component_id of every row in ``prints``; ``nodes`` (fp, least, n) has each fp once,
+    ``roots`` (node, root) the linked ones."""
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
-    named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = linked.join(named, "root").select("fp", "component_id", "n")
+    ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    linked = linked.join(ids, "root").select("fp", "component_id", "n")
     # fingerprints of one row without links need no lookup
     alone = nodes.where("n > 1").join(roots.select(F.col("node").alias("fp")), "fp", "left_anti").select("fp", F.col("least").alias("component_id"), "n")
     known = materialize(linked.unionByName(alone), "known")
@@ -151,11 +162,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, heavy:
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """One row of each component: that with the least doc_id (nulls last), then the least hash of its text.
+    """One row of each component of ``near_duplicates``, as ``keep_least`` chooses it."""
+    return keep_least(docs, near_duplicates(docs, shingle, distance))
+
+
+def keep_least(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of each component in ``groups``: that with the least doc_id (nulls last), then the least hash of its text.
 
     Equal rows are one. All columns are kept.
     """
-    groups = near_duplicates(docs, shingle, distance)
     # rows of a component without any doc_id can't be told apart by it: the fingerprint stands in
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")
