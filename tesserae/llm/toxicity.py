@@ -15,13 +15,13 @@ from tesserae.llm.common import batches, map_rows, materialize, slices, table
 
 #: The model is fitted on this many labelled rows of either kind at most, those with the least hash of their doc_id.
 TOXIC_ROWS, OTHER_ROWS = 3_000, 12_000
-#: Terms considered for the lexicon, those in most contexts.
-CANDIDATES = 20_000
 STEMS = (4, 5, 6, 7, 8)
 #: A term must be in so many contexts of toxic texts, be so much more frequent there, and so surely.
 CONTEXTS, RATIO, EVIDENCE = 3, 20.0, 15.0
 FUZZY, QUOTED = 0.8, 0.1
 CACHE_WORDS = 300_000
+#: Terms that a task counts before it hands its counts on.
+HELD_TERMS = 200_000
 
 _EDGE = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|*#$%&-_/\\~`^=+…“”„«»‘’‹›—–"
 _OPEN, _CLOSE = "\"“„«‹", "\"”“»›"
@@ -210,38 +210,53 @@ def learn(rows: DataFrame) -> tuple[Lexicon, np.ndarray]:
         return batches(pairs(), context, step=1 << 14)
 
     many = rows.where("toxic = 1").select("text").mapInArrow(contexts, "term string, context long").distinct().groupBy("term").count().where(F.col("count") >= CONTEXTS)
-    candidates = frozenset(r.term for r in many.orderBy(F.desc("count"), "term").limit(CANDIDATES).collect())
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
-    if not candidates or not n_other:
+    if not n_toxic or not n_other:
         return Lexicon({}), np.array([np.log((n_toxic + 0.5) / (n_other + 0.5)), 0.0])
     count = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("other", pa.int64())])
 
     def counted(part, of):
-        total = (Counter(), Counter())
-        for batch in part:
-            for text, toxic in slices(batch, ["text", "toxic"]):
-                total[toxic == 0].update(of(text))
-        return batches(((t, total[0][t], total[1][t]) for t in total[0].keys() | total[1].keys()), count, step=1 << 13)
+        def told():
+            total = (Counter(), Counter())
+            for batch in part:
+                for text, toxic in slices(batch, ["text", "toxic"]):
+                    total[toxic == 0].update(of(text))
+                    if len(total[0]) + len(total[1]) > HELD_TERMS:
+                        yield from ((t, total[0][t], total[1][t]) for t in total[0].keys() | total[1].keys())
+                        total = (Counter(), Counter())
+            yield from ((t, total[0][t], total[1][t]) for t in total[0].keys() | total[1].keys())
+
+        return batches(told(), count, step=1 << 13)
 
-    def table_of(of) -> list[tuple[str, int, int]]:
-        sums = rows.mapInArrow(lambda part: counted(part, of), "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        return [(r.term, r.toxic, r.other) for r in sums.collect()]  # no more terms than there are candidates or near words
+    def table_of(of) -> DataFrame:
+        return rows.mapInArrow(lambda part: counted(part, of), "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
-    stats = {t: (a, b) for t, a, b in table_of(lambda text: {t for w in set(_clean(text)) for t in _terms(w) if t in candidates})}
+    # the terms of the contexts above, each with its texts; only what can be chosen comes to the driver
+    told = table_of(lambda text: {t for w in set(_clean(text)) if 4 <= len(w) <= 40 for t in _terms(w)}).join(many.select("term"), "term", "left_semi")
+    stats = {r.term: (r.toxic, r.other) for r in told.where(telling(n_toxic, n_other)).collect()}
     chosen = choose(stats, n_toxic, n_other)
     draft = Lexicon(chosen)
 
     def misspelled(text):
         return {w for raw in set((text or "").split()) if (hit := draft.find(raw)) and hit[1] for w in [raw.strip(_EDGE).lower()]}
 
-    near = table_of(misspelled)
+    near = [(r.term, r.toxic, r.other) for r in table_of(misspelled).collect()]  # no more terms than there are near words
     lexicon = Lexicon(chosen, frozenset(t for t, a, b in near if b and (a + 0.5) / n_toxic < 5 * (b + 0.5) / n_other))
     points = map_rows(rows, lambda text: (abuse(text, lexicon)[0],), ["text"], pa.schema([("x", pa.float64())]), "x double", ["toxic"])
     binned = points.groupBy(F.round("x", 1).alias("x"), "toxic").count().orderBy("x", "toxic").collect()
     return lexicon, logistic([(r.x, r.toxic, r["count"]) for r in binned])
 
 
+def telling(n_toxic: int, n_other: int) -> F.Column:
+    """RATIO and EVIDENCE of ``choose`` over toxic and other, with room for rounding."""
+    a, b, n = F.col("toxic"), F.col("other"), n_toxic + n_other
+    out = F.lit(0.0)
+    for x, rows, cell in ((a, n_toxic, a + b), (n_toxic - a, n_toxic, n - a - b), (b, n_other, a + b), (n_other - b, n_other, n - a - b)):
+        out = out + F.when(x > 0, 2 * x * F.log(x * F.lit(float(n)) / (F.lit(float(rows)) * cell))).otherwise(0.0)
+    return ((a + 0.5) / n_toxic / ((b + 0.5) / n_other) >= RATIO * (1 - 1e-9)) & (out >= EVIDENCE * (1 - 1e-9))
+
+
 def choose(stats: dict[str, tuple[int, int]], n_toxic: int, n_other: int) -> dict[str, float]:
     """Words and stems* that tell toxic texts, of (toxic, other) texts with each term, and their weights.
 
