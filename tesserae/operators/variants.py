@@ -160,9 +160,11 @@ def match_by_base(a: DataFrame, b: DataFrame, suffix: str) -> DataFrame:
 
 
 def match_by_chromosome(chromosomes: DataFrame, files: DataFrame) -> DataFrame:
-    """Files whose name holds a chromosome and a dot; the list of chromosomes is broadcast."""
+    """Files whose name holds a chromosome and a dot; the list of chromosomes (at most ten thousand) is broadcast."""
+    if chromosomes.limit(10_001).count() > 10_000:
+        raise ValueError("there are more than 10000 chromosomes")
     name = F.regexp_replace("path", "^.*/", "")
-    return files.join(F.broadcast(chromosomes.limit(10_000)), F.contains(name, F.concat("chrom", F.lit("."))))
+    return files.join(F.broadcast(chromosomes), F.contains(name, F.concat("chrom", F.lit("."))))
 
 
 def parameter_grid(*lists: DataFrame) -> DataFrame:
