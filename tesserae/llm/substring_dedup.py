@@ -1,4 +1,4 @@
-"""Removing passages of words that occur more than once."""
+"""Removing passages of words that occur more than once, by the hashes of all their windows."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm import windows
-from tesserae.llm.common import materialize, table
+from tesserae.llm.common import batches, slices, table
 
 #: Words whose codes each Python worker keeps.
 CACHE_WORDS = 150_000
@@ -46,19 +47,166 @@ def _cut(size: int):
     return cut
 
 
-def repeated_words(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """The windows of ``size`` words whose sequence starts elsewhere too, as KEY, first, windows."""
-    rows = windows.keyed(docs)
-    found = materialize(windows.find_segments(rows, codes_of_words, size, gram), "segments")
-    repeated, opened = windows.settle(found)
-    return repeated.unionByName(windows.repeated_by_hash(rows, opened, codes_of_words, size))
+#: Windows that are hashed and sorted at once; a longer text is taken in pieces.
+CHUNK = 1 << 19
+#: Buckets of hashes for each shuffle partition; one bucket at a time is sorted.
+BUCKETS = 4
+_ROW = "chunk long, bucket int, docs array<struct<doc_id:long,text_hash:long,at:int,words:int,first:int>>, hashes binary, tags binary, places binary"
+_DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32()), ("words", pa.int32()), ("first", pa.int32())]))
+_SCHEMA = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("docs", _DOCS), ("hashes", pa.binary()), ("tags", pa.binary()), ("places", pa.binary())])
+_FOUND = pa.schema([("chunk", pa.int64()), ("docs", _DOCS), ("places", pa.binary())])
+
 
+def _hashed(chunk: int, held: list[tuple], size: int, buckets: int) -> pa.RecordBatch:
+    """Rows of one chunk: for each bucket the hashes of the windows that fall into it, and one row that names the texts.
 
-def remove_repeats(docs: DataFrame, size: int = 35, gram: int = 8, carry: list[str] | None = None) -> DataFrame:
+    ``held`` has (doc_id, text_hash, first word, codes). A window has a place, that of its first word among all
+    words of the chunk. Windows that occur twice in the chunk are known to be repeated; the row that names the
+    texts lists their places, and the buckets get one of each.
+    """
+    codes = np.concatenate([c for *_, c in held])
+    ends = np.cumsum([len(c) for *_, c in held])
+    change = np.zeros(len(codes) + 1, np.int8)
+    change[ends - size + 1] -= 1
+    change[ends] += 1
+    places = np.flatnonzero(np.cumsum(change[:-1], dtype=np.int8) == 0)
+    hashes = windows.Hashes(codes)
+    one, two = (hashes.every(size, k)[places] for k in (0, 1))
+    order = np.argsort(one, kind="stable")
+    again = one[order][1:] == one[order][:-1]
+    own = np.zeros(len(places), bool)
+    own[order[1:][again]] = own[order[:-1][again]] = True
+    once = np.ones(len(places), bool)
+    once[order[1:][again]] = False
+    own_places = places[own].astype("<u4")
+
+    one, two, places = one[once], two[once], places[once].astype("<u4")
+    bucket = ((two >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    one, tags, places, bucket = one[order], two[order].astype("<u2"), places[order], bucket[order].astype(np.int64)
+    low, high = (places & 0xFFFF).astype("<u2"), (places >> 16).astype("<u2")
+    start = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1))
+    spans = list(zip(start.tolist(), [*start[1:].tolist(), len(bucket)]))
+    texts = [{"doc_id": d, "text_hash": k, "at": int(e) - len(c), "words": len(c), "first": f} for (d, k, f, c), e in zip(held, ends)]
+    columns = [
+        [chunk] * (len(spans) + 1),
+        [*bucket[start].tolist(), chunk % buckets],
+        [None] * len(spans) + [texts],
+        [*(one[a:b].tobytes() for a, b in spans), None],
+        [*(tags[a:b].tobytes() for a, b in spans), None],
+        # the low and the high halves apart, of which the latter compress well
+        [*(low[a:b].tobytes() + high[a:b].tobytes() for a, b in spans), own_places.tobytes()],
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SCHEMA.types)], schema=_SCHEMA)
+
+
+def hash_windows(docs: DataFrame, size: int, buckets: int, chunk: int = CHUNK) -> DataFrame:
+    """Rabin-Karp hashes of every window of ``size`` words, packed by chunk of texts and bucket of hashes."""
+
+    def run(part):
+        number = TaskContext.get().partitionId() << 32
+        held, n = [], 0
+        for batch in part:
+            for doc, key, text in slices(batch, ["doc_id", "text_hash", "text"]):
+                own = codes_of_words(text) if text else ()
+                for first in range(0, len(own) - size + 1, chunk):
+                    held.append((doc, key, first, own[first : first + chunk + size - 1]))
+                    n += len(held[-1][3])
+                    if n >= chunk:
+                        yield _hashed(number, held, size, buckets)
+                        held, n, number = [], 0, number + 1
+        if held:
+            yield _hashed(number, held, size, buckets)
+
+    return docs.mapInArrow(run, _ROW)
+
+
+def _repeated_places(rows: list[tuple]) -> list[tuple]:
+    """(chunk, None, places) of the windows in the rows of one bucket whose hash is there twice or more."""
+    one = np.concatenate([np.frombuffer(r[3], "<u8") for r in rows])
+    tag = np.concatenate([np.frombuffer(r[4], "<u2") for r in rows])
+    order = np.argsort(one, kind="stable")
+    same = one[order][1:] == one[order][:-1]
+    if (same & (tag[order][1:] != tag[order][:-1])).any():  # 64 bits agree and 16 others don't
+        order = np.lexsort((tag, one))
+        same = one[order][1:] == one[order][:-1]
+    same &= tag[order][1:] == tag[order][:-1]
+    hit = np.zeros(len(one), bool)
+    hit[order[1:][same]] = hit[order[:-1][same]] = True
+    out, at = [], 0
+    for r in rows:
+        n = len(r[3]) // 8
+        own = hit[at : at + n]
+        at += n
+        if own.any():
+            halves = np.frombuffer(r[5], "<u2").astype("<u4")
+            out.append((r[0], None, (halves[:n] | halves[n:] << 16)[own].tobytes()))
+    return out
+
+
+def count_windows(hashed: DataFrame) -> DataFrame:
+    """chunk, docs, places: the rows that name texts, and the places of windows whose hash occurs in another chunk."""
+
+    def rows(part):
+        group: list[tuple] = []
+        for batch in part:
+            for row in slices(batch, ["chunk", "bucket", "docs", "hashes", "tags", "places"]):
+                if group and group[0][1] != row[1]:
+                    yield from _repeated_places(group)
+                    group = []
+                if row[2] is not None:
+                    yield row[0], row[2], row[5]
+                else:
+                    group.append(row)
+        if group:
+            yield from _repeated_places(group)
+
+    parts = int(hashed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = hashed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(lambda part: batches(rows(part), _FOUND, weight=2), "chunk long, docs array<struct<doc_id:long,text_hash:long,at:int,words:int,first:int>>, places binary")
+
+
+def _spans_of(texts: list[dict], found: list[bytes]):
+    """(doc_id, text_hash, first, windows) of the runs of repeated windows in one chunk."""
+    hit = np.zeros(texts[-1]["at"] + texts[-1]["words"] + 1, bool)
+    for places in found:
+        hit[np.frombuffer(places, "<u4")] = True
+    for t in texts:
+        edge = np.flatnonzero(np.diff(hit[t["at"] : t["at"] + t["words"]], prepend=False, append=False))
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            yield t["doc_id"], t["text_hash"], t["first"] + a, b - a
+
+
+def repeated_words(docs: DataFrame, size: int, chunk: int = CHUNK) -> DataFrame:
+    """The windows of ``size`` words whose sequence starts elsewhere too, as KEY, first, windows."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int32()), ("windows", pa.int32())])
+
+    def rows(part):
+        number, texts, found = None, None, []
+        for batch in part:
+            for row in slices(batch, ["chunk", "docs", "places"]):
+                if row[0] != number:
+                    if texts:
+                        yield from _spans_of(texts, found)
+                    number, texts, found = row[0], None, []
+                texts = row[1] or texts
+                found.append(row[2])
+        if texts:
+            yield from _spans_of(texts, found)
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = count_windows(hash_windows(windows.keyed(docs), size, BUCKETS * parts, chunk))
+    by_chunk = counted.repartition(parts, "chunk").sortWithinPartitions("chunk")
+    return by_chunk.mapInArrow(lambda part: batches(rows(part), schema, step=1 << 13), "doc_id long, text_hash long, first int, windows int")
+
+
+def remove_repeats(docs: DataFrame, size: int = 35, carry: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
     """Remove every word that is covered by a repeated window of ``size`` words.
 
-    Windows are Rabin-Karp hashed and counted in Spark; ``windows`` tells how whole segments of them are
-    counted at once. Windows are judged on the input, in all rows, and never cross rows.
+    Every window is hashed (Rabin-Karp) and its hash goes to a bucket, where Spark's tasks count it: 64 bits and
+    16 more of a second hash, beside those that chose the bucket. A window that occurs often in a chunk of
+    ``chunk`` windows is sent once from there, so no hash meets more often than there are chunks. Windows are
+    judged on the input, in all rows, and never cross rows.
 
     Returns doc_id, n_words, n_removed, spans (maximal removed intervals of words) and kept (text, one
     space between words), with the columns named in ``carry``. A null text has no words; a text shorter
@@ -67,7 +215,7 @@ def remove_repeats(docs: DataFrame, size: int = 35, gram: int = 8, carry: list[s
     """
     schema = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())])
     ddl = "n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept string"
-    return windows.remove(docs, repeated_words(docs, size, gram), _cut(size), schema, ddl, carry or [])
+    return windows.remove(docs, repeated_words(docs, size, chunk), _cut(size), schema, ddl, carry or [])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
