@@ -27,17 +27,16 @@ ENDS_P = frozenset("address article aside blockquote center details dialog dir d
 #: Start tags that end an open element of these names, within the containers named last.
 ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "option": (("option",), ("select",)), "body": (("head",), ("html",))}
 
-#: Elements that hold no article text wherever they stand.
+#: Elements that by the standard hold no article text wherever they stand.
 OUTSIDE = frozenset("head nav footer aside form button select option textarea script style noscript template iframe svg canvas dialog menu object audio video datalist fieldset title".split())
-#: Words in class, id or role of elements that hold something else than the article.
-MARKS = frozenset(
-    "ad ads advert advertisement advertising adsense sponsor sponsored promo promotion banner comment comments commentlist disqus reply replies respond "
-    "sidebar complementary widget related recommended share sharing social nav navbar navigation menu breadcrumb breadcrumbs footer contentinfo masthead "
-    "cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar copyright legal skip".split()
-)
 #: The same, unless inside the article.
 HEADER = frozenset("header hgroup".split())
-BODY = frozenset("article main".split())
+#: Elements that by the standard hold the main content; texts in them weigh so much more.
+BODY, BODY_WEIGHT = frozenset("article main".split()), 50
+#: Share of the content's weight that the chosen node holds.
+HOLD = 0.6
+#: Words in class, id or role of reader comments, which read like an article and so can't be told by ratios.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
 
 
 class Block:
@@ -63,7 +62,7 @@ def _attributes(source: str) -> tuple[tuple[str, ...], bool]:
                 classes = tuple(found)
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.lower().replace(" ", ""):
             outside = True
-    return classes, outside or any(w in MARKS for w in words)
+    return classes, outside or any(w in COMMENTS for w in words)
 
 
 def blocks(page: str) -> list[Block]:
@@ -153,11 +152,11 @@ def blocks(page: str) -> list[Block]:
 
 
 def path_scores(found: list[Block], spread: float = 1.0) -> dict[tuple[str, ...], float]:
-    """Score of each path: text and punctuation per node, smoothed over the page, multiplied.
+    """Score of each path: text and punctuation per node, smoothed over the page, fused and weighed.
 
     All blocks of a path share their path's ratios. The page is then a series of ratios, one a block,
-    which a Gaussian of deviation ``spread`` smooths; a path's score is the mean over its blocks of the
-    fused series. Text in links doesn't count.
+    which a Gaussian of deviation ``spread`` smooths; the two are fused by product, and a path's score is the mean
+    over its blocks, times BODY_WEIGHT if it leads through one of BODY. Text in links doesn't count.
     """
     total: dict[tuple[str, ...], list[float]] = {}
     for b in found:
@@ -176,41 +175,50 @@ def path_scores(found: list[Block], spread: float = 1.0) -> dict[tuple[str, ...]
         own = sums.setdefault(b.path, [0, 0])
         own[0] += chars * (1 + marks)
         own[1] += 1
-    return {p: s / k for p, (s, k) in sums.items()}
+    return {p: s / k * (BODY_WEIGHT if _body(p) else 1) for p, (s, k) in sums.items()}
+
+
+def _body(path: tuple[str, ...]) -> tuple[str, ...] | None:
+    """The path of the innermost element of BODY on ``path``."""
+    return next((path[: k + 1] for k in range(len(path) - 1, -1, -1) if path[k].split(".")[0] in BODY), None)
+
+
+def content_paths(scores: dict[tuple[str, ...], float]) -> list[tuple[str, ...]]:
+    """Paths that score at least the deviation of all scores, the best first (of equal ones the first in the page)."""
+    mean = sum(scores.values()) / len(scores)
+    threshold = math.sqrt(sum((s - mean) ** 2 for s in scores.values()) / len(scores))
+    best = max(scores, key=scores.get)
+    return [best, *(p for p in scores if scores[p] >= threshold and p != best)]
+
+
+def container(found: list[Block], scores: dict[tuple[str, ...], float]) -> tuple[str, ...]:
+    """The content node: the deepest element around the best path that holds HOLD of the weight of all content paths.
+
+    A path weighs its score for each of its blocks. An element of BODY is taken whole if that node lies in it.
+    """
+    content = content_paths(scores)
+    weight = dict.fromkeys(content, 0.0)
+    for b in found:
+        if b.path in weight:
+            weight[b.path] += scores[b.path]
+    best, least = content[0], HOLD * sum(weight.values())
+    node = next((best[:k] for k in range(len(best) - 1, 0, -1) if sum(w for p, w in weight.items() if len(p) > k and p[:k] == best[:k]) >= least), ())
+    whole = _body(best)
+    return whole if whole and len(node) >= len(whole) else node
 
 
 def extract(page: str | None) -> str:
     """The article of ``page``: its blocks, joined by line ends.
 
-    Blocks in elements that never hold the article are set aside. Of the other paths, those that score at
-    least the deviation of all scores (and the best in any case) are content; the container is the <article>
-    or <main> they are in, or else their common path, and all its blocks are taken in order.
+    Elements that by the HTML standard hold no article text, and reader comments, are set aside. Of the other
+    tag paths the scores tell which are content, and these tell the node that holds the article; all its blocks
+    are taken in order, so that headings and short items stay.
     """
-    every = blocks(page or "")
-    found = [b for b in every if not b.outside]
+    found = [b for b in blocks(page or "") if not b.outside]
     if not found:
         return ""
-    scores = path_scores(found)
-    mean = sum(scores.values()) / len(scores)
-    threshold = math.sqrt(sum((s - mean) ** 2 for s in scores.values()) / len(scores))
-    # of equal scores the first in the page
-    best = max(scores, key=scores.get)
-    content = [p for p in scores if scores[p] >= threshold or p == best]
-
-    def body(path):
-        return next((path[: k + 1] for k in range(len(path) - 1, -1, -1) if path[k].split(".")[0] in BODY), None)
-
-    container = body(best)
-    if container is None:
-        # the common path of the content, a leaf's own element left out
-        near = [p for p in content if p[:-1][:2] == best[:-1][:2]]
-        container = near[0][:-1]
-        for p in near[1:]:
-            k = 0
-            while k < min(len(container), len(p) - 1) and container[k] == p[k]:
-                k += 1
-            container = container[:k]
-    return "\n".join(b.text for b in found if b.path[: len(container)] == container)
+    node = container(found, path_scores(found))
+    return "\n".join(b.text for b in found if b.path[: len(node)] == node)
 
 
 def main_text(pages: DataFrame, carry: Sequence[str] = ("page_id", "url")) -> DataFrame:
