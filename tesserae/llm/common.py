@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.session import ensure_importable, materialize, scratch_dir, shared_root
@@ -62,6 +62,11 @@ def carried(carry: Sequence[str], made: Sequence[str]) -> list[str]:
     return [f"_carry_{c}" if c in made else c for c in carry]
 
 
+def named(column: str) -> Column:
+    """The column of that name, even if it has dots or quotes."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that ``df`` doesn't have."""
     while name in df.columns:
@@ -75,7 +80,7 @@ def map_rows(df: DataFrame, fn, inputs: Sequence[str], schema: pa.Schema, ddl: s
     Columns in ``carry`` pass through as they are, whatever their types; ``carried`` tells their names.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for c in carry}
-    named = df.select(*(df[c].alias(f"in_{k}") for k, c in enumerate(inputs)), *(df[c].alias(f"carry_{k}") for k, c in enumerate(carry) if c not in inputs))
+    bare = df.select(*(named(c).alias(f"in_{k}") for k, c in enumerate(inputs)), *(named(c).alias(f"carry_{k}") for k, c in enumerate(carry) if c not in inputs))
     held = [f"in_{list(inputs).index(c)}" if c in inputs else f"carry_{k}" for k, c in enumerate(carry)]
     names = [f"in_{k}" for k in range(len(inputs))]
 
@@ -89,6 +94,6 @@ def map_rows(df: DataFrame, fn, inputs: Sequence[str], schema: pa.Schema, ddl: s
                 yield pa.RecordBatch.from_arrays([*new, *old], [*(f"new_{k}" for k in range(len(new))), *(f"carry_{k}" for k in range(len(old)))])
 
     fields = [f.strip().split(" ", 1) for f in ddl.split(",")]
-    out = named.mapInArrow(run, ", ".join([f"new_{k} {kind}" for k, (_, kind) in enumerate(fields)] + [f"carry_{k} {kinds[c]}" for k, c in enumerate(carry)]))
+    out = bare.mapInArrow(run, ", ".join([f"new_{k} {kind}" for k, (_, kind) in enumerate(fields)] + [f"carry_{k} {kinds[c]}" for k, c in enumerate(carry)]))
     made = [name for name, _ in fields]
     return out.toDF(*made, *carried(carry, made))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import SPACE, broadcast_if_small, carried, map_rows, slices, table
+from tesserae.llm.common import SPACE, broadcast_if_small, carried, map_rows, named, slices, table
 
 #: Buckets for single words, and as many for pairs.
 BUCKETS = 1 << 16
@@ -96,7 +96,10 @@ def measures(text: str | None, weight: np.ndarray) -> tuple:
     repeated = 0
     if n > 3:
         v = len(codes)
-        _, same, count = np.unique((order[:-2] * v + order[1:-1]) * v + order[2:], return_inverse=True, return_counts=True)
+        pair = order[:-2] * v + order[1:-1]
+        if v >= 1 << 21:  # three numbers don't fit in 64 bits
+            pair = np.unique(pair, return_inverse=True)[1]
+        _, same, count = np.unique(pair * v + order[2:], return_inverse=True, return_counts=True)
         again = np.flatnonzero(count[same] > 1)
         hit = np.zeros(n, bool)
         for k in range(3):
@@ -138,10 +141,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_docs(docs: DataFrame, target: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
-    safe = {c: f"other_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
-    held = [safe.get(c, c) for c in docs.columns]
-    return assess(docs.withColumnsRenamed(safe), target, threshold, held).where("kept").select(*held).toDF(*docs.columns)
+    """The rows of ``docs`` that are kept, with their columns, whatever the names of those; see ``assess``."""
+    held = [c if c in ("doc_id", "text") else f"other_{k}" for k, c in enumerate(docs.columns)]
+    safe = docs.select(*(named(c).alias(n) for c, n in zip(docs.columns, held)))
+    return assess(safe, target, threshold, held).where("kept").select(*held).toDF(*docs.columns)
 
 
 ORACLE = r"""

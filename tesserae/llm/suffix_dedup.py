@@ -1,9 +1,11 @@
-"""Removing byte strings that occur more than once, by suffix arrays over groups of candidates."""
+"""Removing strings of bytes, or of words, that occur more than once, by suffix arrays over groups of candidates."""
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm import windows
-from tesserae.llm.common import batches, materialize, slices, table
+from tesserae.llm.common import SPACE, batches, materialize, named, slices, table
+from tesserae.llm.substring_dedup import codes_of_words
 from tesserae.llm.suffix_array import suffix_array
 
 #: Anchors with more kinds of content than this are settled by window hashes, which Spark can spread over tasks.
@@ -24,7 +27,34 @@ def codes_of_text(text: str) -> np.ndarray:
     return windows.codes_of_bytes(text.encode())
 
 
-def _common(a: bytes, b: bytes) -> int:
+class Alphabet:
+    """Characters that stand for 64-bit codes of words, the same ones until ``clear``."""
+
+    def __init__(self):
+        self.known: dict[int, str] = {}
+
+    def spell(self, content: bytes) -> str:
+        known = self.known
+        # chr(0) stays free for separators, and surrogates aren't characters
+        return "".join([known.get(c) or known.setdefault(c, chr(k if (k := len(known) + 1) < 0xD800 else k + 0x800)) for c in memoryview(content).cast("Q").tolist()])
+
+    def clear(self):
+        self.known.clear()
+
+
+class Unit(NamedTuple):
+    """What strings are made of: 64-bit codes of a text's symbols; what is shuffled of them; and how to read that again."""
+
+    codes: Callable[[str], np.ndarray]
+    content: Callable[[str], bytes]
+    width: int
+    words: bool
+
+
+UNITS = {"byte": Unit(codes_of_text, str.encode, 1, False), "word": Unit(codes_of_words, lambda text: codes_of_words(text).tobytes(), 8, True)}
+
+
+def _common(a: bytes | str, b: bytes | str) -> int:
     """Length of the common prefix."""
     low, high = 0, min(len(a), len(b))
     if a[:high] == b[:high]:
@@ -38,7 +68,7 @@ def _common(a: bytes, b: bytes) -> int:
     return low
 
 
-def _reach(sides: list[bytes]) -> list[int]:
+def _reach(sides: list[bytes] | list[str]) -> list[int]:
     """For each string the longest prefix it has in common with any other of the list."""
     order = sorted(range(len(sides)), key=sides.__getitem__)
     out = [0] * len(sides)
@@ -48,19 +78,19 @@ def _reach(sides: list[bytes]) -> list[int]:
     return out
 
 
-def repeated_starts(pieces: list[bytes], copies: list[int], size: int) -> list[list[int]]:
-    """For each of ``pieces``, which all differ, the starts of the ``size``-byte strings that start elsewhere too.
+def repeated_starts(pieces: list[bytes] | list[str], copies: list[int], size: int) -> list[list[int]]:
+    """For each of ``pieces``, which all differ, the starts of the strings of ``size`` symbols that start elsewhere too.
 
     A piece with ``copies`` over 1 stands for that many. The pieces are joined, separated by a symbol that
-    no byte has, and suffix-sorted; of all suffixes, a neighbour shares the longest prefix.
+    none of them has, and suffix-sorted; of all suffixes, a neighbour shares the longest prefix.
     """
     out: list[list[int]] = [[] for _ in pieces]
     joined, owner_start = [], []
     for p in pieces:
         owner_start.append(len(joined))
-        joined += [b + 2 for b in p]
+        joined += [b + 2 for b in (p if isinstance(p, bytes) else map(ord, p))]
         joined.append(1)
-    data = b"\0".join(pieces)
+    data = (b"\0" if isinstance(pieces[0], bytes) else "\0").join(pieces)
     owner = np.repeat(np.arange(len(pieces)), [len(p) + 1 for p in pieces])
     ends = np.array([s + len(p) for s, p in zip(owner_start, pieces)])[owner]
     order = np.array(suffix_array(joined), np.int64)
@@ -79,16 +109,16 @@ def repeated_starts(pieces: list[bytes], copies: list[int], size: int) -> list[l
     return out
 
 
-def narrowed(contents: list[bytes], anchors: list[int], copies: list[int], size: int):
+def narrowed(contents: list[bytes] | list[str], anchors: list[int], copies: list[int], size: int):
     """Cut segments with a common anchor down to what a repeated string can cover.
 
     A string around the anchor that occurs in another segment too reaches no further left than the longest
     left context shared with any other, and likewise right; sorted contexts tell both.
     Returns distinct pieces, their copies, and (piece, offset of the piece in the segment) of each segment.
     """
-    left = _reach([c[a - 1 :: -1] if a else b"" for c, a in zip(contents, anchors)])
+    left = _reach([c[a - 1 :: -1] if a else c[:0] for c, a in zip(contents, anchors)])
     right = _reach([c[a:] for c, a in zip(contents, anchors)])
-    pieces: dict[bytes, int] = {}
+    pieces: dict[bytes | str, int] = {}
     total: list[int] = []
     where: list[tuple[int, int] | None] = []
     for k, (c, a) in enumerate(zip(contents, anchors)):
@@ -106,11 +136,12 @@ def narrowed(contents: list[bytes], anchors: list[int], copies: list[int], size:
     return list(pieces), total, where
 
 
-def _sorted_groups(part: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
+def _sorted_groups(part: Iterator[pa.RecordBatch], size: int, words: bool) -> Iterator[tuple]:
     """Repeated windows of whole groups, which come sorted by anchor; several small groups are sorted together."""
     group: list[tuple] = []
     block: list[tuple] = []
     block_bytes = 0
+    alphabet = Alphabet()
 
     def settle():
         pieces, total, owners = [], [], []
@@ -120,7 +151,7 @@ def _sorted_groups(part: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]
             total += copies
             owners.append((rows, base, where))
         # pieces of different groups can be equal; they have different anchors, so no window in common matters
-        distinct: dict[bytes, int] = {}
+        distinct: dict[bytes | str, int] = {}
         number = [distinct.setdefault(p, len(distinct)) for p in pieces]
         copies = [0] * len(distinct)
         for n, c in zip(number, total):
@@ -142,7 +173,8 @@ def _sorted_groups(part: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]
 
     def close():
         nonlocal block_bytes
-        pieces, total, where = narrowed([r[6] for r in group], [r[4] for r in group], [r[5] for r in group], size)
+        contents = [alphabet.spell(r[6]) if words else r[6] for r in group]
+        pieces, total, where = narrowed(contents, [r[4] for r in group], [r[5] for r in group], size)
         if pieces:
             block.append((list(group), pieces, total, where))
             block_bytes += sum(map(len, pieces))
@@ -155,23 +187,25 @@ def _sorted_groups(part: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]
                 if block_bytes >= BLOCK_BYTES:
                     yield from settle()
                     block, block_bytes = [], 0
+                    alphabet.clear()
             group.append(row)
     if group:
         close()
         yield from settle()
 
 
-def _contents(docs: DataFrame, opened: DataFrame, size: int, gram: int) -> DataFrame:
-    """The bytes of open spans, with the place of the anchor in each."""
+def _contents(docs: DataFrame, opened: DataFrame, size: int, gram: int, unit: Unit) -> DataFrame:
+    """The symbols of open spans, with the place of the anchor in each."""
     schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int32()), ("at", pa.int32()), ("copies", pa.int64()), ("content", pa.binary())])
 
     def rows(part):
         for batch in part:
             for doc, key, text, spans in slices(batch, ["doc_id", "text_hash", "text", "spans"]):
-                data = text.encode()
+                data = unit.content(text)
                 for s in spans:
-                    content = data[s["first"] : s["first"] + s["windows"] - 1 + size]
-                    grams = windows.Hashes(windows.codes_of_bytes(content)).every(gram).view(np.int64)
+                    content = data[unit.width * s["first"] : unit.width * (s["first"] + s["windows"] - 1 + size)]
+                    codes = np.frombuffer(content, np.uint64) if unit.words else windows.codes_of_bytes(content)
+                    grams = windows.Hashes(codes).every(gram).view(np.int64)
                     # the anchor is in every window of the segment, so between the last start and the first end
                     low = s["windows"] - 1
                     at = low + int(np.flatnonzero(grams[low : size - gram + 1] == s["anchor"])[0])
@@ -188,24 +222,24 @@ def per_spans(opened: DataFrame) -> DataFrame:
     return windows.per_row(opened, "anchor", "first", "windows", "copies")
 
 
-def repeated_bytes(docs: DataFrame, size: int, gram: int, group_kinds: int = GROUP_KINDS) -> DataFrame:
-    """The ``size``-byte strings that start elsewhere too, as KEY, first, windows."""
+def repeated_strings(docs: DataFrame, size: int, gram: int, unit: Unit, group_kinds: int = GROUP_KINDS) -> DataFrame:
+    """The strings of ``size`` symbols that start elsewhere too, as KEY, first, windows."""
     rows = windows.keyed(docs)
-    found = materialize(windows.find_segments(rows, codes_of_text, size, gram), "segments")
+    found = materialize(windows.find_segments(rows, unit.codes, size, gram), "segments")
     repeated, opened = windows.settle(found)
     opened = materialize(opened, "opened")
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("first", pa.int32()), ("windows", pa.int32())])
 
     def run(part):
-        return batches(_sorted_groups(part, size), schema, step=1 << 13)
+        return batches(_sorted_groups(part, size, unit.words), schema, step=1 << 13)
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = _contents(rows, opened.where(F.col("kinds") <= group_kinds), size, gram).repartition(parts, "anchor").sortWithinPartitions("anchor")
+    grouped = _contents(rows, opened.where(F.col("kinds") <= group_kinds), size, gram, unit).repartition(parts, "anchor").sortWithinPartitions("anchor")
     sorted_ = grouped.mapInArrow(run, "doc_id long, text_hash long, first int, windows int")
     out = repeated.unionByName(sorted_)
     large = opened.where(F.col("kinds") > group_kinds)
     if not large.isEmpty():
-        out = out.unionByName(windows.repeated_by_hash(rows, large, codes_of_text, size))
+        out = out.unionByName(windows.repeated_by_hash(rows, large, unit.codes, size))
     return out
 
 
@@ -239,26 +273,47 @@ def remove_repeats(docs: DataFrame, size: int = 400, gram: int = 64, carry: list
     """
     schema = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.binary())])
     ddl = "n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
-    return windows.remove(docs, repeated_bytes(docs, size, gram, group_kinds), _cut(size), schema, ddl, carry or [])
+    return windows.remove(docs, repeated_strings(docs, size, gram, UNITS["byte"], group_kinds), _cut(size), schema, ddl, carry or [])
+
+
+#: ASCII words, as everywhere here; the space after a word goes with it.
+_WORD = re.compile(f"[^{SPACE}]+")
+
+
+def _without_words(text: str, runs, size: int) -> str:
+    """``text`` without the words of repeated windows and the white space after each; all else stays as it is."""
+    gone = windows.covered(runs, size)
+    if not gone:
+        return text
+    start = [m.start() for m in _WORD.finditer(text)] + [len(text)]
+    kept, at = [], 0
+    for a, b in gone:
+        kept.append(text[at : start[a]])
+        at = start[b]
+    return "".join([*kept, text[at:]])
 
 
-def clean(docs: DataFrame, size: int = 400, gram: int = 64) -> DataFrame:
-    """``docs`` with repeated bytes cut out of text, and n_chars (if there) counted anew.
+def clean(docs: DataFrame, size: int = 400, gram: int = 64, unit: str = "byte") -> DataFrame:
+    """``docs`` without the strings of ``size`` symbols (``unit``: bytes or words) in texts that also start elsewhere, and
+    with n_chars (if there) counted anew.
 
-    Bytes that are left of a character partly removed go with it; a null text stays null.
+    Strings are judged on the input and never cross rows. Bytes that are left of a character partly removed go
+    with it; with words goes the white space after them. A null text stays null; one shorter than ``size`` stays
+    as it is; equal rows are copies of each other, and all lose what they share; null doc_ids are kept; further
+    columns pass through, whatever their names; an empty table gives no rows.
     """
 
     def cut(text, runs):
         if text is None:
             return None, None
-        left = _cut(size)(text, runs)[-1].decode(errors="ignore")
+        left = _without_words(text, runs, size) if unit == "word" else _cut(size)(text, runs)[-1].decode(errors="ignore")
         return left, len(left)
 
     schema = pa.schema([("new_text", pa.string()), ("new_chars", pa.int64())])
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     safe = {c: f"other_{k}" for k, c in enumerate(others)}
-    renamed = docs.withColumnsRenamed(safe)
-    done = windows.remove(renamed, repeated_bytes(renamed, size, gram), cut, schema, "new_text string, new_chars long", list(safe.values()))
+    renamed = docs.select("doc_id", "text", *(named(c).alias(n) for c, n in safe.items()))
+    done = windows.remove(renamed, repeated_strings(renamed, size, gram, UNITS[unit]), cut, schema, "new_text string, new_chars long", list(safe.values()))
     back = {"doc_id": F.col("doc_id"), "text": F.col("new_text"), "n_chars": F.col("new_chars")} | {c: F.col(n) for c, n in safe.items()}
     return done.select(*(back[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
 

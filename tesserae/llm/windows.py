@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import batches, carried, materialize, slices
+from tesserae.llm.common import batches, carried, materialize, named, slices
 
 _MASK = (1 << 64) - 1
 #: Windows of a text that are hashed at once.
@@ -235,7 +235,7 @@ def remove(docs: DataFrame, repeated: DataFrame, cut: Callable, schema: pa.Schem
     (with _carry_ before a name of these)."""
     runs = materialize(_runs(repeated), "runs")
     kinds = {c: docs.schema[c].dataType.simpleString() for c in carry}
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", *(F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text", *(named(c).alias(f"carry_{k}") for k, c in enumerate(carry)))
 
     def run(part):
         for batch in part:
@@ -246,7 +246,7 @@ def remove(docs: DataFrame, repeated: DataFrame, cut: Callable, schema: pa.Schem
                 old = [piece.column(piece.schema.get_field_index(f"carry_{k}")) for k in range(len(carry))]
                 yield pa.RecordBatch.from_arrays([piece.column(piece.schema.get_field_index("doc_id")), *new, *old], ["doc_id", *schema.names, *(f"carry_{k}" for k in range(len(carry)))])
 
-    out = attach(named, runs, "runs", "left").drop("text_hash").mapInArrow(run, f"doc_id long, {ddl}" + "".join(f", carry_{k} {kinds[c]}" for k, c in enumerate(carry)))
+    out = attach(rows, runs, "runs", "left").drop("text_hash").mapInArrow(run, f"doc_id long, {ddl}" + "".join(f", carry_{k} {kinds[c]}" for k, c in enumerate(carry)))
     names = carried(carry, ["doc_id", *schema.names])
     return out.withColumnsRenamed({f"carry_{k}": c for k, c in enumerate(names)})
 
