@@ -324,13 +324,47 @@ def test_substring_dedup(spark, docs, empty):
     import hashlib
 
     rows = docs.collect()
-    for size, gram in ((5, 2), (35, 8)):
+    for size, chunk in ((5, 1 << 19), (5, 64), (35, 1 << 19), (35, 300)):
         expected = sorted((-1 if r.doc_id is None else r.doc_id, *x) for r, x in zip(rows, substring_dedup.brute_force([r.text for r in rows], size)))
-        got = substring_dedup.remove_repeats(docs, size, gram).collect()
+        got = substring_dedup.remove_repeats(docs, size, chunk=chunk).collect()
         assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got) == expected
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_of_words(spark, docs):
+    rows = docs.collect()
+    for size, gram in ((5, 2), (45, 8)):
+        expected = sorted((-1 if r.doc_id is None else r.doc_id, x[2]) for r, x in zip(rows, substring_dedup.brute_force([r.text for r in rows], size)))
+        out = suffix_dedup.clean(docs, size, gram, "word")
+        import hashlib
+
+        assert out.schema == docs.schema
+        assert sorted((-1 if r.doc_id is None else r.doc_id, hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest()) for r in out.collect()) == expected
+
+
+def test_every_window_is_counted_once(spark, docs):
+    """Each window of each text is hashed; a window that a chunk has twice is sent from it once."""
+    hashed = substring_dedup.hash_windows(windows.keyed(docs), 5, 16, 1 << 19).collect()
+    sent = sum(len(r.hashes) // 8 for r in hashed if r.hashes is not None)
+    per_chunk = {}
+    for r in hashed:
+        if r.docs is not None:
+            per_chunk[r.chunk] = (sum(d.words - 4 for d in r.docs), len(r.places) // 4)
+    total = sum(len(w) - 4 for w in ((r.text or "").split() for r in docs.collect()) if len(w) >= 5)
+    assert sum(n for n, _ in per_chunk.values()) == total
+    assert total - sum(n for _, n in per_chunk.values()) <= sent < total
+
+
+def test_hashes_that_agree_in_part():
+    """64 bits decide together with 16 others."""
+    def row(chunk, hashes, tags):
+        places = np.arange(len(hashes), dtype="<u2")
+        return chunk, 0, None, np.array(hashes, "<u8").tobytes(), np.array(tags, "<u2").tobytes(), places.tobytes() + np.zeros(len(hashes), "<u2").tobytes()
+
+    got = substring_dedup._repeated_places([row(1, [7, 9, 5], [1, 1, 1]), row(2, [7, 9], [2, 1]), row(3, [7], [1])])
+    assert {c: np.frombuffer(p, "<u4").tolist() for c, _, p in got} == {1: [0, 1], 2: [1], 3: [0]}
+
+
 def test_segments_cover_all_windows():
     rng = np.random.default_rng(3)
     for n in (35, 36, 100, 700):
@@ -405,6 +439,50 @@ def test_html_extraction(spark):
     assert html_extract.main_text(frame.limit(0)).count() == 0
 
 
+def test_path_scores_by_hand():
+    """Aggregate, smooth, fuse and threshold, written out plainly."""
+    import math
+    import statistics
+
+    rng = random.Random(9)
+    for _ in range(40):
+        paths = [("html", "body"), ("html", "body", "div"), ("html", "body", "div", "p"), ("html", "body", "ul", "li")]
+        found = []
+        for _ in range(rng.randint(1, 12)):
+            text = "".join(rng.choice("ab ,.") for _ in range(rng.randint(1, 60)))
+            found.append(html_extract.Block(rng.choice(paths), text, rng.choice([0, 0, len(text), 3]), False))
+        char, mark = {}, {}
+        for p in {b.path for b in found}:
+            own = [b for b in found if b.path == p]
+            char[p] = sum(max(0, len(b.text) - b.links) for b in own) / len(own)
+            mark[p] = sum(sum(c in ",." for c in b.text) for b in own if b.links < len(b.text)) / len(own)
+        expected = {}
+        for p in char:
+            fused = []
+            for i, b in enumerate(found):
+                if b.path == p:
+                    near = {j: math.exp(-((i - j) ** 2) / 2) for j in range(len(found)) if abs(i - j) <= 2}
+                    c, m = (sum(w * of[found[j].path] for j, w in near.items()) / sum(near.values()) for of in (char, mark))
+                    fused.append(c * (1 + m))
+            expected[p] = sum(fused) / len(fused)
+        scores = html_extract.path_scores(found)
+        assert scores == pytest.approx(expected)
+        limit = statistics.pstdev(expected.values())
+        chosen = html_extract.content_paths(scores)
+        top = max(expected.values())
+        assert expected[chosen[0]] == pytest.approx(top)
+        assert all(abs(expected[p] - limit) < 1e-9 or (p in chosen) == (expected[p] >= limit or p == chosen[0]) for p in expected)
+        node = html_extract.container(found, scores)
+        held = [0] if not chosen[0] else [sum(scores[b.path] for b in found if b.path in chosen and len(b.path) > k and b.path[:k] == chosen[0][:k]) for k in range(len(chosen[0]))]
+        assert node == chosen[0][: len(node)] and (held[len(node)] >= html_extract.HOLD * held[0] - 1e-9) and all(h < html_extract.HOLD * held[0] + 1e-9 for h in held[len(node) + 1 :])
+
+
+def test_scores_choose_the_node():
+    page = "<body><div class=teaser>Read this now, all of you.</div><div><h1>Head</h1><p>Much more text, and longer; with marks of all kinds, as articles have. So it goes on.</p><p>Again a long one, as before, and the end.</p></div><section>Contact us</section>"
+    article = "Head\nMuch more text, and longer; with marks of all kinds, as articles have. So it goes on.\nAgain a long one, as before, and the end."
+    assert html_extract.extract(page) == article
+
+
 def edits(a, b):
     """Least number of insertions, deletions, substitutions and swaps of neighbours (each place edited once)."""
     d = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
