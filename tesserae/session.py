@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,11 +23,13 @@ def ensure_importable(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset and the master is local (tests)."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if sc.applicationId not in _OWN:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             _OWN[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="tesserae-")
             sc.setCheckpointDir(_OWN[sc.applicationId])
         root = _OWN[sc.applicationId]
