@@ -82,13 +82,14 @@ class Trie:
 class Lexicon:
     """Looks up words: exactly, as a stem, or misspelled."""
 
-    def __init__(self, weights: dict[str, float], innocent: frozenset[str] = frozenset()):
-        """weights: of words, and of stems, which end in a star; innocent: words that are no misspellings."""
+    def __init__(self, weights: dict[str, float], innocent: frozenset[str] = frozenset(), strict: frozenset[str] = frozenset()):
+        """weights: of words, and of stems, which end in a star; innocent: words that are no misspellings; strict: terms
+        that have too many of these near them, so only their own spelling counts."""
         words, stems = [t for t in weights if t[-1] != "*"], [t[:-1] for t in weights if t[-1] == "*"]
-        self.weights, self.words, self.stems, self.innocent = weights, frozenset(words), stems, innocent
+        self.weights, self.words, self.stems, self.innocent, self.strict = weights, frozenset(words), stems, innocent, strict
         self.exact = Trie(words, stems)
-        self.fuzzy = Trie([w for w in words if len(w) >= 5])  # what follows a stem is free, so a stem must be exact
-        long = [w for w in words if len(w) >= 5]
+        long = [w for w in words if len(w) >= 5 and w not in strict]
+        self.fuzzy = Trie(long)  # what follows a stem is free, so a stem must be exact
         # an edit can't change both the first two and the last two letters of five or more
         self.heads, self.tails = frozenset(w[:2] for w in long), frozenset(w[-2:] for w in long)
         self.starts = frozenset(w[:3] for w in [*words, *stems])
@@ -239,10 +240,18 @@ def learn(rows: DataFrame) -> tuple[Lexicon, np.ndarray]:
     draft = Lexicon(chosen)
 
     def misspelled(text):
-        return {w for raw in set((text or "").split()) if (hit := draft.find(raw)) and hit[1] for w in [raw.strip(_EDGE).lower()]}
+        """Near words, and after a space the terms that they are near to."""
+        found = [(raw.strip(_EDGE).lower(), hit[0]) for raw in set((text or "").split()) if (hit := draft.find(raw)) and hit[1]]
+        return {w for w, _ in found} | {" " + t for _, t in found}
 
     near = [(r.term, r.toxic, r.other) for r in table_of(misspelled).collect()]  # no more terms than there are near words
-    lexicon = Lexicon(chosen, frozenset(t for t, a, b in near if b and (a + 0.5) / n_toxic < 5 * (b + 0.5) / n_other))
+
+    def doubtful(a, b, ratio):
+        return b and (a + 0.5) / n_toxic < ratio * (b + 0.5) / n_other
+
+    innocent = frozenset(t for t, a, b in near if t[0] != " " and doubtful(a, b, 5))
+    strict = frozenset(t[1:] for t, a, b in near if t[0] == " " and doubtful(a, b, RATIO))
+    lexicon = Lexicon(chosen, innocent, strict)
     points = map_rows(rows, lambda text: (abuse(text, lexicon)[0],), ["text"], pa.schema([("x", pa.float64())]), "x double", ["toxic"])
     binned = points.groupBy(F.round("x", 1).alias("x"), "toxic").count().orderBy("x", "toxic").collect()
     return lexicon, logistic([(r.x, r.toxic, r["count"]) for r in binned])
@@ -311,7 +320,7 @@ def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, carry=("doc_id",)
     A null or empty text has no hits and gets the score of a text without any; equal texts get equal scores;
     whole texts are read; an empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.innocent))
+    model = docs.sparkSession.sparkContext.broadcast((lexicon.weights, lexicon.innocent, lexicon.strict))
     own: list[Lexicon] = []
     a, b = map(float, beta)
 

@@ -526,6 +526,57 @@ def test_toxicity_on_held_out_rows(spark):
     assert right > 0.97 and caught > 0.85
 
 
+def misspelt(rng, raw):
+    """``raw`` with one letter changed, left out, doubled or swapped, past its first."""
+    letters = [i for i, c in enumerate(raw) if c.isalpha()][1:]
+    i = rng.choice(letters[:-1])
+    return rng.choice([raw[:i] + rng.choice("xqz0*") + raw[i + 1 :], raw[:i] + raw[i + 1 :], raw[:i] + raw[i] + raw[i:], raw[:i] + raw[i + 1] + raw[i] + raw[i + 2 :]])
+
+
+def test_automata_and_context_help(spark):
+    """Held-out rows, toxic ones with every term misspelled, and clean ones that quote terms: with the automata and the
+    quotation scores, and without either."""
+    from tesserae.llm.common import table
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    lexicon, beta = toxicity.learn(toxicity.sample(docs, labels))
+    held = docs.join(labels, "doc_id").where(toxicity.held_out() & F.col("toxic").isNotNull()).select("doc_id", "text", "toxic").collect()
+    without = toxicity.Lexicon(lexicon.weights, lexicon.innocent, frozenset(lexicon.words))
+
+    def flagged(text, own, context=True):
+        found = own.hits(text) if text else []
+        words = (text or "").split()
+        x = sum(own.weights[t] * (toxicity.FUZZY if e else 1) * (1 - (1 - toxicity.QUOTED) * (toxicity.quotation(words, at) if context else 0)) for at, t, e in found)
+        return beta[0] + beta[1] * np.log1p(x) >= 0
+
+    rng = random.Random(7)
+    terms = [t for t in lexicon.words if len(t) >= 5 and t not in lexicon.strict and t.isascii()]
+    assert len(terms) >= 8
+    wrong, quoted = [], []
+    for r in held:
+        words = (r.text or "").split()
+        hits = without.hits(r.text) if r.text else []
+        if r.toxic and hits and all(t in terms for _, t, _ in hits):
+            for at, _, _ in hits:
+                words[at] = misspelt(rng, words[at])
+            wrong.append(" ".join(words))
+        if not r.toxic and not hits and words:
+            a, b = rng.sample(terms, 2)
+            at = rng.randrange(len(words))
+            quoted.append(" ".join([*words[:at], f'the word "{a}" is an insult, the report said; so is the term "{b}", it said.', *words[at:]]))
+    assert len(wrong) > 20 and len(quoted) > 100
+
+    def share(texts, *options):
+        return sum(flagged(t, *options) for t in texts) / len(texts)
+
+    assert share(wrong, lexicon) > 0.8 and share(wrong, without) < 0.2
+    assert share(quoted, lexicon) < 0.02 and share(quoted, lexicon, False) > 0.9
+    # and on the held-out rows as they are nothing is lost by either
+    plain = [(flagged(r.text, lexicon), flagged(r.text, without), flagged(r.text, lexicon, False), r.toxic) for r in held]
+    assert sum(a == y for a, _, _, y in plain) >= max(sum(b == y for _, b, _, y in plain), sum(c == y for _, _, c, y in plain))
+
+
 def test_toxicity_edges(spark, docs, empty):
     labels = spark.createDataFrame([(k, k % 2) for k in range(20)] + [(None, 1), (5, None)], "doc_id long, toxic int")
     lexicon, beta = toxicity.learn(toxicity.sample(docs, labels))
