@@ -18,17 +18,38 @@ def spanned_reference(variants: DataFrame, ref_tiles: DataFrame, tags: DataFrame
 
     A variant that lacks the next tag runs on to a later one: its last bases name that tag, whose place on
     the reference ends the stretch. The last tile of a chromosome ends with it. Two equi-joins with the
-    tiles; the reference is cut from the chromosome's sequence, with overlaps trimmed.
+    tiles. Only distinct stretches of two tiles or more are put together, from chunks of the reference; a stretch of
+    over MAX_SPAN tiles, which is never compared, has no ref_seq.
     """
     place = ref_tiles.select("tag", "seqname", "pos", "len", F.col("seq").alias("own"), F.row_number().over(Window.partitionBy("seqname").orderBy("pos")).alias("nth"))
     ends = tags.join(place.select("tag", F.col("seqname").alias("end_name"), F.col("pos").alias("end_pos"), F.col("nth").alias("end_nth")), "tag").drop("tag")
     rows = variants.join(place, "tag").withColumn("end_tag", F.expr(f"right(seq, {k})"))
     rows = rows.join(ends, (rows["end_tag"] == ends["tagseq"]) & (rows["seqname"] == ends["end_name"]) & (ends["end_pos"] > rows["pos"]), "left").drop("tagseq", "end_name", "end_tag")
     direct = F.col("end_pos").isNull() | (F.col("end_nth") == F.col("nth") + 1)
-    whole = rows.join(ref_seqs.select("seqname", F.col("seq").alias("_chr")), "seqname")
-    end = F.col("end_pos") + k
-    ref_seq = F.when(direct, F.col("own")).otherwise(F.expr("substring(_chr, cast(pos + 1 as int), cast(end_pos + %d - pos as int))" % k))
-    return whole.select(*variants.columns, "seqname", "pos", ref_seq.alias("ref_seq"), F.when(direct, 1).otherwise(F.col("end_nth") - F.col("nth")).alias("span"), F.when(direct, F.col("pos") + F.col("len")).otherwise(end).alias("end"))
+    span, end = F.when(direct, 1).otherwise(F.col("end_nth") - F.col("nth")), F.when(direct, F.col("pos") + F.col("len")).otherwise(F.col("end_pos") + k)
+    rows = rows.withColumn("span", span).withColumn("end", end)
+    stretches = rows.where((F.col("span") > 1) & (F.col("span") <= MAX_SPAN)).select("seqname", F.col("pos").alias("start"), "end").distinct()
+    cut = reference_stretches(stretches, ref_seqs).select("seqname", F.col("start").alias("pos"), "end", F.col("seq").alias("_stretch"))
+    rows = rows.join(cut, ["seqname", "pos", "end"], "left")
+    ref_seq = F.when(F.col("span") == 1, F.col("own")).otherwise(F.col("_stretch"))
+    return rows.select(*variants.columns, "seqname", "pos", ref_seq.alias("ref_seq"), "span", "end")
+
+
+def reference_stretches(stretches: DataFrame, ref_seqs: DataFrame, chunk: int = 1 << 16) -> DataFrame:
+    """``stretches`` (seqname, start, end; distinct) with seq, the reference there, by an equi-join with chunks of it.
+
+    No row but the reference's own carries a chromosome, and a stretch is put together from the few chunks it meets.
+    """
+    data = F.encode("seq", "UTF-8")
+    starts = F.sequence(F.lit(0), F.greatest(F.length("seq") - 1, F.lit(0)), F.lit(chunk))
+    pieces = F.transform(starts, lambda o: F.decode(F.substring(data, o + 1, F.lit(chunk)), "UTF-8"))
+    chunks = ref_seqs.select("seqname", F.posexplode(pieces).alias("_n", "_part"))
+    first, last = F.floor(F.col("start") / chunk).cast("int"), F.floor((F.col("end") - 1) / chunk).cast("int")
+    wanted = stretches.withColumn("_n", F.explode(F.sequence(first, F.greatest(first, last))))
+    met = wanted.join(chunks, ["seqname", "_n"]).groupBy("seqname", "start", "end").agg(F.array_sort(F.collect_list(F.struct("_n", "_part"))).alias("_parts"))
+    whole = F.array_join(F.transform("_parts", lambda p: p["_part"]), "")
+    at = F.col("start") - F.element_at("_parts", 1)["_n"] * chunk
+    return met.select("seqname", "start", "end", F.substring(whole, (at + 1).cast("int"), (F.col("end") - F.col("start")).cast("int")).alias("seq"))
 
 
 def differences(pairs: DataFrame, max_size: int = 50_000, max_apart: int = 1000) -> DataFrame:

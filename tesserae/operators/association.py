@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tesserae.functions.statistics import chi2_pvalue_udf, chi2_statistic, likelihood_ratio_pvalue, log_likelihood, standardized
 
+#: Samples that are broadcast; a model of more than these isn't fitted.
+MOST_SAMPLES = 1_000_000
+
 
 def frequencies(carriers: DataFrame, n: int, counted: Column | None = None) -> DataFrame:
     """(tag, variant, maf): (2 hom + het) / 2n over the counted samples."""
@@ -29,7 +32,7 @@ def chi2_scan(carriers: DataFrame, samples: DataFrame, low: float = 0.01, high:
     """
     training = samples.where("is_training")
     n, cases = training.agg(F.count("*"), F.count_if("is_case")).first()
-    rows = carriers.join(F.broadcast(training.select("sample", "is_case")) if n <= 1_000_000 else training.select("sample", "is_case"), "sample")
+    rows = carriers.join(F.broadcast(training.select("sample", "is_case")) if n <= MOST_SAMPLES else training.select("sample", "is_case"), "sample")
     several = carriers.groupBy("tag").agg(F.max("variant").alias("m")).where("m >= 2").select("tag")
     rows = rows.join(several, "tag", "left_semi")
     if not include_first:
@@ -55,7 +58,7 @@ def hgvs_filter(cells: DataFrame, samples: DataFrame, alpha: float, least_called
     """HGVS ids with enough called training samples, and with p of hom or het at most ``alpha``."""
     training = samples.where("is_training").select("sample", "is_case")
     n, cases = training.agg(F.count("*"), F.count_if("is_case")).first()
-    rows = cells.join(F.broadcast(training), "sample")
+    rows = cells.join(F.broadcast(training) if n <= MOST_SAMPLES else training, "sample")
 
     def both(name):
         return [F.count_if((F.col(name) == 1) & F.col("is_case")).alias(f"{name}_a"), F.count_if((F.col(name) == 1) & ~F.col("is_case")).alias(f"{name}_b")]
@@ -70,8 +73,11 @@ def glm_scan(carriers: DataFrame, samples: DataFrame, low: float = 0.01, high: f
     """(tag, variant, hom, pvalue): likelihood ratio of a logistic model of cases with the column and without.
 
     ``samples`` (sample, is_case, is_training, pca) is collected: it has a row for each genome, which is small
-    beside the carriers. The model without a column is fitted once. A column is the array of its carriers.
+    beside the carriers (more than MOST_SAMPLES are refused). The model without a column is fitted once. A column is
+    the array of its carriers.
     """
+    if samples.limit(MOST_SAMPLES + 1).count() > MOST_SAMPLES:
+        raise ValueError(f"there are more than {MOST_SAMPLES} samples")
     own = samples.where("is_training").orderBy("sample").toPandas()
     y = own["is_case"].to_numpy(float)
     covariates = np.array(own["pca"].tolist(), float).reshape(len(own), -1)

@@ -62,21 +62,41 @@ def contained(rows: DataFrame, regions: DataFrame, width: int = BIN) -> DataFram
     return x.join(y, inside, "left_semi").drop("_bin")
 
 
-def merge(rows: DataFrame) -> DataFrame:
+def _with_reach(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` with _bin and _reach: the greatest end of all before it on its sequence, in order of start, then end.
+
+    Within a bin by a window, and from the bins before by a window over one row for each bin, so that no
+    task sees all intervals of a sequence.
+    """
+    binned = rows.withColumn("_bin", F.floor(F.col("start") / width))
+    ends = binned.groupBy("seqname", "_bin").agg(F.max("end").alias("_max"))
+    before = F.max("_max").over(Window.partitionBy("seqname").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    within = F.max("end").over(Window.partitionBy("seqname", "_bin").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
+    return binned.join(ends.select("seqname", "_bin", before.alias("_carry")), ["seqname", "_bin"]).withColumn("_reach", F.greatest("_carry", within)).drop("_carry")
+
+
+def _with_island(rows: DataFrame, new: Column, width: int) -> DataFrame:
+    """``rows`` with _island: how many rows up to it on its sequence begin one (``new``, of _reach), counted by bins."""
+    marked = _with_reach(rows, width).withColumn("_new", F.when(F.col("_reach").isNull() | new, 1).otherwise(0))
+    opened = marked.groupBy("seqname", "_bin").agg(F.sum("_new").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("seqname").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    # equal intervals are one step, whatever their order
+    within = F.sum("_new").over(Window.partitionBy("seqname", "_bin").orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = marked.join(opened.select("seqname", "_bin", F.coalesce(before, F.lit(0)).alias("_before")), ["seqname", "_bin"])
+    return joined.withColumn("_island", F.col("_before") + within).drop("_before", "_new", "_reach", "_bin")
+
+
+def merge(rows: DataFrame, width: int = BIN) -> DataFrame:
     """Union of half-open intervals; those that touch become one."""
-    order = Window.partitionBy("seqname").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = rows.select("seqname", "start", "end").withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0))
-    island = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    island = _with_island(rows.select("seqname", "start", "end"), F.col("start") > F.col("_reach"), width)
     return island.groupBy("seqname", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
-def complement(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+def complement(rows: DataFrame, sizes: DataFrame, width: int = BIN) -> DataFrame:
     """Gaps between the intervals on each sequence of ``sizes`` (seqname, size)."""
-    edges = merge(rows).join(sizes, "seqname", "left_semi").unionByName(sizes.select("seqname", F.col("size").alias("start"), F.col("size").alias("end")))
-    before = F.coalesce(F.max("end").over(Window.partitionBy("seqname").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    gaps = edges.select("seqname", before.cast("long").alias("gap_start"), F.col("start").alias("gap_end"))
-    return gaps.where("gap_start < gap_end").select("seqname", F.col("gap_start").alias("start"), F.col("gap_end").alias("end"))
+    edges = merge(rows, width).join(sizes, "seqname", "left_semi").unionByName(sizes.select("seqname", F.col("size").alias("start"), F.col("size").alias("end")))
+    before = F.coalesce("_reach", F.lit(0)).cast("long")
+    return _with_reach(edges, width).select("seqname", before.alias("a"), F.col("start").alias("b")).where("a < b").select("seqname", F.col("a").alias("start"), F.col("b").alias("end"))
 
 
 def subtract(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
@@ -86,46 +106,55 @@ def subtract(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
     return intersect(whole, complement(b, sizes), width)
 
 
-def called_regions(blocks: DataFrame, unreported_called: bool = False) -> DataFrame:
+def called_regions(blocks: DataFrame, unreported_called: bool = False, width: int = BIN) -> DataFrame:
     """Called regions of gVCF blocks (seqname, start, end, called).
 
     Blocks of a sequence are read in order of start, then end. A called region runs on over called blocks
     that adjoin it, and over gaps if what is unreported counts as called. A block that overlaps what came
     before can only extend it, if it is called after a called one and longer; else it is ignored.
-    """
 
-    ordered = blocks.select("seqname", "start", "end", "called").repartition("seqname").sortWithinPartitions("seqname", "start", "end", F.desc("called"))
+    Runs of blocks that overlap are told apart first, each is one ordered pass, and what they give is merged, so a
+    sequence is the work of many tasks.
+    """
+    own = blocks.select("seqname", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "called")
+    runs = _with_island(own, F.col("start") >= F.col("_reach"), width)
+    ordered = runs.repartition("seqname", "_island").sortWithinPartitions("seqname", "_island", "start", "end", F.desc("called"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name = end = opened = None  # opened: where the called region that is still open begins
+        name = begun = end = opened = None  # begun: where the run began; opened: where its called region, still open, did
         for pdf in batches:
             out = []
-            for s, a, b, now in zip(pdf["seqname"], pdf["start"], pdf["end"], pdf["called"]):
-                if s != name:
-                    if opened is not None:
-                        out.append((name, opened, end))
-                    name, end, opened = s, b, a if now else None
-                    continue
-                if a < end:
+            for s, i, a, b, now in zip(pdf["seqname"], pdf["_island"], pdf["start"], pdf["end"], pdf["called"]):
+                if (s, i) != name:
+                    if name is not None:
+                        out.append((name[0], opened, end, begun))
+                    name, begun, end, opened = (s, i), a, b, a if now else None
+                elif a < end:
                     if opened is not None and now:
                         end = max(end, b)
-                    continue
-                if a > end and unreported_called and opened is None:
-                    opened = end
-                elif a > end and not unreported_called and opened is not None:
-                    out.append((s, opened, end))
-                    opened = None
-                if now:
-                    opened = a if opened is None else opened
-                elif opened is not None:
-                    out.append((s, opened, a))
-                    opened = None
-                end = b
-            yield pd.DataFrame(out, columns=["seqname", "start", "end"])
-        if opened is not None:
-            yield pd.DataFrame([(name, opened, end)], columns=["seqname", "start", "end"])
-
-    return ordered.mapInPandas(run, "seqname string, start long, end long")
+                else:  # after an ignored block, with or without a gap
+                    if a > end and opened is not None:
+                        out.append((s, opened, end, None))
+                        opened = None
+                    if a > end and unreported_called:
+                        out.append((s, end, a, None))
+                    if now:
+                        opened = a if opened is None else opened
+                    elif opened is not None:
+                        out.append((s, opened, a, None))
+                        opened = None
+                    end = b
+            yield pd.DataFrame(out, columns=["seqname", "start", "end", "begun"]).astype({"start": "Int64", "end": "Int64", "begun": "Int64"})
+        if name is not None:
+            yield pd.DataFrame([(name[0], opened, end, begun)], columns=["seqname", "start", "end", "begun"]).astype({"start": "Int64", "end": "Int64", "begun": "Int64"})
+
+    found = ordered.mapInPandas(run, "seqname string, start long, end long, begun long")
+    regions = found.where("start is not null").select("seqname", "start", "end")
+    if unreported_called:
+        bounds = found.where("begun is not null").select("seqname", F.col("begun").alias("start"), "end")
+        gaps = _with_reach(bounds, width).where(F.col("_reach") < F.col("start")).select("seqname", F.col("_reach").alias("a"), F.col("start").alias("b"))
+        regions = regions.unionByName(gaps.select("seqname", F.col("a").alias("start"), F.col("b").alias("end")))
+    return merge(regions, width)
 
 
 def called_islands(blocks: DataFrame) -> DataFrame:
@@ -136,22 +165,23 @@ def called_islands(blocks: DataFrame) -> DataFrame:
 def drop_overlapping(rows: DataFrame, key: str = "seqname") -> DataFrame:
     """Keep the first of overlapping intervals, greedily; a dropped one doesn't cover what follows.
 
-    Input partitions are the sequences; each is one ordered pass that holds a batch at a time.
+    Runs of intervals that overlap are told apart first; each is one ordered pass that holds a batch at a time.
     """
     fields = rows.schema
-    ordered = rows.repartition(key).sortWithinPartitions(key, "start", "end")
+    runs = _with_island(rows.withColumnRenamed(key, "seqname"), F.col("start") >= F.col("_reach"), BIN)
+    ordered = runs.repartition("seqname", "_island").sortWithinPartitions("seqname", "_island", "start", "end")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, reach = None, None
         for pdf in batches:
             keep = []
-            for s, a, b in zip(pdf[key], pdf["start"], pdf["end"]):
-                if s != name:
-                    name, reach = s, None
+            for s, i, a, b in zip(pdf["seqname"], pdf["_island"], pdf["start"], pdf["end"]):
+                if (s, i) != name:
+                    name, reach = (s, i), None
                 ok = reach is None or a >= reach
                 keep.append(ok)
                 if ok:
                     reach = b
-            yield pdf[keep]
+            yield pdf[keep].rename(columns={"seqname": key})[fields.names]
 
     return ordered.mapInPandas(run, fields)

@@ -15,15 +15,18 @@ def gram_counts(ones: DataFrame) -> DataFrame:
     return x.join(y, "col").where("a <= b").groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-def gram_matrix(ones: DataFrame, n_samples: int, block: int = 4096) -> np.ndarray:
+def gram_matrix(ones: DataFrame, n_samples: int, block: int = 4096, side: int = 1024) -> np.ndarray:
     """Counts of shared columns, samples by samples, on the driver (n_samples squared numbers).
 
-    Each task turns its columns into dense blocks and adds up their products, so carriers of a column are
-    never paired as rows.
+    Each task turns its columns into dense matrices and adds up their products, so carriers of a column are
+    never paired as rows. The sums are cut into squares of ``side`` samples, half of them by symmetry, which Spark adds up
+    over tasks; the driver gets each square once.
     """
+    cuts = range(0, n_samples, side)
 
     def run(batches):
-        total = np.zeros((n_samples, n_samples))
+        total = {(a, b): np.zeros((min(side, n_samples - a), min(side, n_samples - b))) for a in cuts for b in cuts if a <= b}
+        touched = set()
         for pdf in batches:
             carried = pdf["rows"].tolist()
             for at in range(0, len(carried), block):
@@ -31,14 +34,33 @@ def gram_matrix(ones: DataFrame, n_samples: int, block: int = 4096) -> np.ndarra
                 x = np.zeros((n_samples, len(rows)), np.float32)
                 for k, r in enumerate(rows):
                     x[r, k] = 1
-                total += x @ x.T
-        yield pd.DataFrame({"part": [total.astype(np.float64).tobytes()]})
+                for a, b in total:
+                    total[a, b] += x[a : a + side] @ x[b : b + side].T
+                touched.update(total)
+        for a, b in sorted(touched):
+            yield pd.DataFrame({"a": [a], "b": [b], "part": [total.pop((a, b)).tobytes()]})
+
+    def add(batches):
+        key, total = None, None
+        for pdf in batches:
+            for a, b, part in zip(pdf["a"], pdf["b"], pdf["part"]):
+                if (a, b) != key:
+                    if key:
+                        yield pd.DataFrame({"a": [key[0]], "b": [key[1]], "part": [total.tobytes()]})
+                    key, total = (a, b), np.frombuffer(part, np.float64).copy()
+                else:
+                    total += np.frombuffer(part, np.float64)
+        if key:
+            yield pd.DataFrame({"a": [key[0]], "b": [key[1]], "part": [total.tobytes()]})
 
     columns = ones.groupBy("col").agg(F.collect_list("row").alias("rows"))
-    parts = columns.mapInPandas(run, "part binary")
+    kind = "a int, b int, part binary"
+    parts = columns.mapInPandas(run, kind).repartition("a", "b").sortWithinPartitions("a", "b").mapInPandas(add, kind)
     total = np.zeros((n_samples, n_samples))
     for row in parts.toLocalIterator():
-        total += np.frombuffer(row.part, np.float64).reshape(n_samples, n_samples)
+        square = np.frombuffer(row.part, np.float64).reshape(min(side, n_samples - row.a), -1)
+        total[row.a : row.a + side, row.b : row.b + side] = square
+        total[row.b : row.b + side, row.a : row.a + side] = square.T
     return total
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,16 +39,36 @@ def kmer_hits(contigs: DataFrame, tags: DataFrame, k: int = TAG_LENGTH) -> DataF
 def greedy_hits(hits: DataFrame, k: int = TAG_LENGTH, key: tuple[str, ...] = ("file", "sample", "phase", "seqname")) -> DataFrame:
     """Of overlapping hits the first, scanning from the left: (key, hits) with hits an array of (pos, tag).
 
-    A hit ends the window, so the next begins after it. The hits of a contig are far fewer than its bases.
+    A hit ends the window, so the next begins after it. One ordered pass over the sorted hits of a partition; only the
+    hits kept of one contig, far fewer than its bases, are held at once.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "tag")))
-    rows = hits.groupBy(*key).agg(ordered.alias("all"))
+    parts = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = hits.select(*key, F.col("pos").cast("long").alias("pos"), F.col("tag").cast("long").alias("tag")).repartition(parts, *key).sortWithinPartitions(*key, "pos", "tag")
+    names = ", ".join(f"{c} {ordered.schema[c].dataType.simpleString()}" for c in key)
+    kind = pa.list_(pa.struct([("pos", pa.int64()), ("tag", pa.int64())]))
 
-    def step(kept, x):
-        end = F.when(F.size(kept) > 0, F.element_at(kept, -1)["pos"] + k).otherwise(0)
-        return F.when(x["pos"] >= end, F.concat(kept, F.array(x))).otherwise(kept)
+    def run(batches):
+        own, kept, end = None, [], 0
+        fields = None
+
+        def row():
+            return pa.RecordBatch.from_arrays([*(pa.array([v], f.type) for v, f in zip(own, fields)), pa.array([kept], kind)], [*key, "hits"])
 
-    return rows.select(*key, F.aggregate("all", F.slice("all", 1, 0), step).alias("hits"))
+        for batch in batches:
+            fields = [batch.schema.field(c) for c in key]
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*key, "pos", "tag")]
+            for *name, pos, tag in zip(*columns):
+                if name != own:
+                    if own is not None:
+                        yield row()
+                    own, kept, end = name, [], 0
+                if pos >= end:
+                    kept.append({"pos": pos, "tag": tag})
+                    end = pos + k
+        if own is not None:
+            yield row()
+
+    return ordered.mapInArrow(run, f"{names}, hits array<struct<pos:long,tag:long>>")
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -69,81 +91,129 @@ def longest_increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def in_order(hits: DataFrame) -> DataFrame:
-    """Hits (arrays of pos, tag) without those out of the order of tags: a longest increasing run of tags stays."""
+def _hits_kept(hits: DataFrame, keep) -> DataFrame:
+    """``hits`` with each array cut down to the hits that ``keep`` names by their places, given their tags."""
     at = hits.columns.index("hits")
 
     def run(batches):
         for batch in batches:
-            kept = [[own[i] for i in longest_increasing([h["tag"] for h in own])] for own in batch.column(at).to_pylist()]
+            kept = [[own[i] for i in keep([h["tag"] for h in own])] for own in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(kept, batch.schema.field(at).type))
 
     return hits.mapInArrow(run, hits.schema)
 
 
+def in_order(hits: DataFrame) -> DataFrame:
+    """Hits (arrays of pos, tag) without those out of the order of tags: a longest increasing run of tags stays."""
+    return _hits_kept(hits, longest_increasing)
+
+
+def placed_once(tags: list[int]) -> list[int]:
+    """Places of the tags that are there once."""
+    times = Counter(tags)
+    return [i for i, t in enumerate(tags) if times[t] == 1]
+
+
 def without_duplicates(hits: DataFrame) -> DataFrame:
     """Hits (arrays) without tags that are found twice or more on the contig."""
-    tags = F.transform("hits", lambda h: h["tag"])
-    return hits.withColumn("_tags", tags).withColumn("hits", F.filter("hits", lambda h: F.size(F.filter("_tags", lambda t: t == h["tag"])) == 1)).drop("_tags")
-
-
-def scan(seq: str, tags: dict[str, int], k: int) -> list[tuple[int, int]]:
-    """(tag, pos) found from the left; the window is cleared by a hit and by anything but a, c, g and t."""
-    out, start, n = [], 0, len(seq)
-    at = k
-    while at <= n:
-        gram = seq[at - k : at]
-        if at - k < start:
-            at += 1
-            continue
-        tag = tags.get(gram)
-        if tag is not None:
-            out.append((tag, at - k))
-            start = at
-            at += k
-        else:
-            at += 1
+    return _hits_kept(hits, placed_once)
+
+
+#: Letters as two bits, anything else 4.
+_CODES = np.full(256, 4, np.uint8)
+_CODES[list(b"acgt")] = range(4)
+#: Bases that are looked up at once.
+PIECE = 1 << 20
+
+
+def tag_index(tags: list[tuple[str, int]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the tags' bases, two bits each, in order; their tags). Tags of other letters or lengths match nothing."""
+    known = [(t.lower(), n) for t, n in tags if len(t) == k and not set(t.lower()) - set("acgt")]
+    if not known:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    codes = _CODES[np.frombuffer("".join(t for t, _ in known).encode(), np.uint8)].reshape(-1, k).astype(np.uint64)
+    numbers = np.zeros(len(known), np.uint64)
+    for j in range(k):
+        numbers = numbers << np.uint64(2) | codes[:, j]
+    order = np.argsort(numbers, kind="stable")
+    return numbers[order], np.array([n for _, n in known], np.int64)[order]
+
+
+def scan(seq: str, index: tuple[np.ndarray, np.ndarray], k: int, piece: int = PIECE) -> list[tuple[int, int]]:
+    """(tag, pos) found from the left; the window is cleared by a hit and by anything but a, c, g and t.
+
+    All windows of a piece become numbers and are looked up in the sorted index together, so that only the hits are
+    taken one by one.
+    """
+    numbers, tags = index
+    out, end = [], 0
+    if not len(numbers) or len(seq) < k:
+        return out
+    codes = _CODES[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)]
+    for first in range(0, len(codes) - k + 1, piece):
+        own = codes[first : first + piece + k - 1]
+        n = len(own) - k + 1
+        grams = np.zeros(n, np.uint64)
+        for j in range(k):
+            grams = grams << np.uint64(2) | (own[j : j + n] & 3)
+        unknown = np.concatenate(([0], np.cumsum(own > 3)))
+        place = np.minimum(np.searchsorted(numbers, grams), len(numbers) - 1)
+        hit = np.flatnonzero((numbers[place] == grams) & (unknown[k:] == unknown[:n]))
+        for pos, tag in zip((hit + first).tolist(), tags[place[hit]].tolist()):
+            if pos >= end:
+                out.append((tag, pos))
+                end = pos + k
     return out
 
 
-def tile_contigs(contigs: DataFrame, tags: DataFrame, k: int = TAG_LENGTH, keep_duplicates: bool = False, skip_out_of_order: bool = False) -> tuple[DataFrame, DataFrame]:
+#: Tags whose numbers are held by every task; beyond, tags are found by a join.
+MOST_TAGS = 50_000_000
+
+
+def tile_contigs(contigs: DataFrame, tags: DataFrame, k: int = TAG_LENGTH, keep_duplicates: bool = False, skip_out_of_order: bool = False, most_tags: int = MOST_TAGS) -> tuple[DataFrame, DataFrame]:
     """Tiles (contig columns, step, tag, start, end, seq) and statistics of each contig.
 
-    One scan of each contig: the tag set is broadcast (it has a row for each tag of the genome, whatever the
-    number of genomes), and contigs, the unit of work, are dealt out evenly. A contig without tags has no
-    tiles but a row of statistics.
+    One pass over the contigs. Up to ``most_tags`` tags, counted first, are broadcast as sorted numbers of 16 bytes a
+    tag; with more of them, or tags over 31 bases, the hits come from a join of k-mers and are joined to their contigs.
+    A contig without tags has no tiles but a row of statistics.
     """
     spark = contigs.sparkSession
     own = [f for f in contigs.schema.fields if f.name != "seq"]
-    table = spark.sparkContext.broadcast({r.tagseq.lower(): r.tag for r in tags.toLocalIterator()})
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own)
     head = [(f.name, pa.int32() if f.dataType.simpleString() == "int" else pa.int64() if f.dataType.simpleString() == "bigint" else pa.string()) for f in own]
     out_schema = pa.schema([*head, ("step", pa.int32()), ("tag", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("tile", pa.string()), ("length", pa.int64()), ("bases", pa.int64()), ("dropped_dup", pa.int64()), ("dropped_ooo", pa.int64())])
+    if k <= 31 and tags.limit(most_tags + 1).count() <= most_tags:
+        table = spark.sparkContext.broadcast(tag_index([(r.tagseq, r.tag) for r in tags.select("tagseq", "tag").toLocalIterator()], k))
+        rows = contigs
+    else:
+        table = None
+        names = tuple(f.name for f in own)
+        lower = contigs.withColumn("seq", F.lower("seq"))
+        hits = greedy_hits(kmer_hits(lower, tags.select("tag", F.lower("tagseq").alias("tagseq")), k), k, names)
+        rows = contigs.join(hits.withColumnsRenamed({n: f"_{n}" for n in names}), [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names], "left").select(*names, "seq", "hits")
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 seq = (row["seq"] or "").lower()
-                hits = scan(seq, table.value, k)
+                hits = scan(seq, table.value, k) if table else [(h["tag"], h["pos"]) for h in row["hits"] or ()]
                 found = len(hits)
                 if not keep_duplicates:
-                    seen: dict[int, int] = {}
-                    for t, _ in hits:
-                        seen[t] = seen.get(t, 0) + 1
-                    hits = [h for h in hits if seen[h[0]] == 1]
+                    hits = [hits[i] for i in placed_once([t for t, _ in hits])]
                 dup = found - len(hits)
                 if skip_out_of_order:
                     hits = [hits[i] for i in longest_increasing([t for t, _ in hits])]
                 ooo = found - dup - len(hits)
                 bases = sum(map(seq.count, "acgt"))
                 base = [row[f.name] for f in own]
-                rows = [[*base, None, None, None, None, None, len(seq), bases, dup, ooo]]
+                made = [[*base, None, None, None, None, None, len(seq), bases, dup, ooo]]
                 for i, (t, p) in enumerate(hits):
                     a, b = (p if i else 0), (hits[i + 1][1] + k if i + 1 < len(hits) else len(seq))
-                    rows.append([*base, i, t, a, b, seq[a:b], None, None, None, None])
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), out_schema)], schema=out_schema)
+                    made.append([*base, i, t, a, b, seq[a:b], None, None, None, None])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), out_schema)], schema=out_schema)
 
-    both = contigs.mapInArrow(run, f"{ddl}, step int, tag int, start long, end long, tile string, length long, bases long, dropped_dup long, dropped_ooo long")
+    both = rows.mapInArrow(run, f"{ddl}, step int, tag int, start long, end long, tile string, length long, bases long, dropped_dup long, dropped_ooo long")
     names = [f.name for f in own]
     tiles = both.where("tag is not null").select(*names, "step", "tag", "start", "end", F.col("tile").alias("seq"))
     stats = both.where("length is not null").select(*names, "length", "bases", "dropped_dup", "dropped_ooo")

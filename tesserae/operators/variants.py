@@ -201,16 +201,20 @@ def consensus(ref: DataFrame, records: DataFrame, mask: DataFrame | None = None)
     def build(seq: pd.Series, edits: pd.Series, hidden: pd.Series) -> pd.Series:
         out = []
         for s, e, h in zip(seq, edits, hidden):
-            bases = list(s)
-            for span in h if h is not None else ():
-                bases[span["start"] : span["end"]] = "n" * max(0, min(span["end"], len(bases)) - span["start"])
+            parts, at = [], 0
+            for a, b in sorted((span["start"], min(span["end"], len(s))) for span in h) if h is not None else ():
+                a = max(a, at)
+                if b > a:
+                    parts += [s[at:a], "n" * (b - a)]
+                    at = b
+            bases = "".join(parts) + s[at:] if parts else s
             parts, at = [], 0
             for x in e if e is not None else ():
                 start = x["pos"] - 1
                 if start >= at:
-                    parts += ["".join(bases[at:start]), x["alt"]]
+                    parts += [bases[at:start], x["alt"]]
                     at = start + len(x["ref"])
-            out.append("".join(parts) + "".join(bases[at:]))
+            out.append("".join(parts) + bases[at:])
         return pd.Series(out, dtype=object)
 
     return rows.select(F.col("sample_id").alias("sample"), "phase", "seqname", build("seq", "edits", "hidden").alias("seq"))
