@@ -6,7 +6,10 @@ runs one. A library directory holds tags, variants, calls, ref_tiles and ref_seq
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesserae.functions.diff import variants_udf
@@ -36,6 +39,18 @@ def save(lib: Library, path: str, tags_per_file: int = 50_000) -> None:
     writers.write_library(path, tags_per_file, tags=lib.tags, variants=lib.variants, calls=lib.calls, ref_tiles=lib.ref_tiles, ref_seqs=lib.ref_seqs)
 
 
+def _merged(libs: list[Library]) -> Library:
+    """One library of several, which must have the same tags."""
+    first = libs[0]
+    for other in libs[1:]:
+        if not library.same_tags(first.tags, other.tags):
+            raise ValueError("the libraries' tag sets differ")
+    if len(libs) > 1:
+        first.variants = library.merge_libraries(*(x.variants for x in libs))
+        first.calls = reduce(DataFrame.unionByName, [x.calls for x in libs])
+    return first
+
+
 def _filtered(lib: Library, max_variants: int = -1, min_coverage: float = 0, max_tag: int = -1, match_genome: str = "") -> Library:
     n = lib.calls.select("sample").distinct().count()
     lib.calls = filters.apply(lib.calls, n, max_variants, min_coverage, max_tag, match_genome)
@@ -58,36 +73,70 @@ def vcf2fasta(spark, ref: str, genome: str, sample: str, output: str, mask: bool
 
 
 @command("import")
-def import_(spark, inputs: str, tag_library: str, ref: str, output: str, match_chromosome: str = r"^(chr)?([0-9]+|X|Y|MT?)$", skip_ooo: bool = False) -> None:
-    """A library of the haplotype FASTA files that ``inputs`` matches."""
-    contigs = readers.haplotypes(readers.check_fasta(readers.read_fasta(spark, inputs))).where("phase is not null")
+def import_(spark, inputs: str, tag_library: str, ref: str, output: str, match_chromosome: str = r"^(chr)?([0-9]+|X|Y|MT?)$", skip_ooo: bool = False, mask: bool = False, gvcf_type: str = "gatk") -> None:
+    """A library of the inputs, patterns joined by commas: haplotype FASTA files, VCF files of one sample each (whose
+    variants are put into the reference, uncalled stretches n if ``mask``), or directories that hold such files."""
+    paths = {"pair": [], "vcf": []}
+    for path in inputs.split(","):
+        if not re.search(r"\.[a-z0-9*?{}\[\]]+$", path):
+            for row in readers.list_inputs(spark, path).where("kind in ('pair', 'vcf')").toLocalIterator():
+                own = [row.path] if row.kind == "vcf" else [row.path, re.sub(r"\.1\.(fa|fasta)(\.gz)?$", r".2.\1\2", row.path)]
+                paths[row.kind] += own
+        else:
+            paths["vcf" if re.search(r"\.vcf(\.gz)?$", path) else "pair"].append(path)
+    parts = []
+    if paths["pair"]:
+        fasta = reduce(DataFrame.unionByName, [readers.read_fasta(spark, p) for p in paths["pair"]])
+        parts.append(readers.haplotypes(readers.check_fasta(fasta)).where("phase is not null").select("sample", "phase", "seqname", "seq"))
+    if paths["vcf"]:
+        records = reduce(DataFrame.unionByName, [readers.read_vcfs(spark, p) for p in paths["vcf"]])
+        parts.append(workflows.haplotypes_from_gvcf(readers.read_fasta(spark, ref), records, gvcf_type, mask).select("sample", "phase", "seqname", F.lower("seq").alias("seq")))
+    if not parts:
+        raise ValueError("there is nothing to import")
+    twice = readers.check_tags(readers.read_tags(spark, tag_library)).first()
+    if twice is not None:
+        raise ValueError(f"tags {twice.tags} begin alike")
+    contigs = reduce(DataFrame.unionByName, parts)
     lib = workflows.build_library(contigs, readers.read_fasta(spark, ref), readers.read_tags(spark, tag_library), chromosomes=match_chromosome, skip_out_of_order=skip_ooo)
     save(lib, output)
 
 
 @command("merge")
 def merge(spark, inputs: str, output: str) -> None:
-    """One library of several with the same tags (paths joined by commas)."""
-    libs = [load(spark, p) for p in inputs.split(",")]
-    for other in libs[1:]:
-        if not library.same_tags(libs[0].tags, other.tags):
-            raise ValueError("the libraries' tag sets differ")
-    first = libs[0]
-    first.variants = library.merge_libraries(*(x.variants for x in libs))
-    for other in libs[1:]:
-        first.calls = first.calls.unionByName(other.calls)
-    save(first, output)
+    """One library of several with the same tags (paths joined by commas), which must be whole."""
+    lib = _merged([load(spark, p) for p in inputs.split(",")])
+    missing = library.missing_variants(lib.calls, lib.variants).select("tag", "hash").distinct().orderBy("tag", "hash").limit(100).collect()
+    if missing:
+        raise ValueError(f"calls without a variant (the first {len(missing)}): " + ", ".join(f"{r.tag} {r.hash}" for r in missing))
+    save(lib, output)
 
 
 @command("slice")
 def slice_(spark, inputs: str, output: str, tags_per_file: int = 50_000) -> None:
-    """The library cut anew by ranges of tags."""
-    save(load(spark, inputs), output, int(tags_per_file))
+    """The libraries (paths joined by commas; the same tags) as one, cut anew by ranges of tags.
+
+    Variants are known by (tag, hash), so those of several libraries need no numbers of their own. The
+    reference is the first library's.
+    """
+    save(_merged([load(spark, p) for p in inputs.split(",")]), output, int(tags_per_file))
 
 
 @command("filter")
 def filter_(spark, inputs: str, output: str, max_variants: int = -1, min_coverage: float = 0, max_tag: int = -1, match_genome: str = "") -> None:
-    save(_filtered(load(spark, inputs), int(max_variants), float(min_coverage), int(max_tag), match_genome), output)
+    """Drop tags by the numbers of their variants, tags from ``max_tag`` on, tags of low coverage, and genomes.
+
+    Other than the filter of ``export`` and ``flake``: a tag goes if any call's variant number is over ``max_variants``, and
+    coverage is int(2 * fraction * genomes) calls, counted last.
+    """
+    lib = load(spark, inputs)
+    genomes = lib.calls.select("sample").distinct().count()
+    calls = lib.calls
+    if int(max_variants) >= 0:
+        everything = library.rank_variants(library.allele_counts(calls.withColumn("known", F.lit(True)), lib.ref_tiles))
+        calls = filters.max_variant_number(library.renumber(calls, everything), int(max_variants)).drop("variant")
+    calls = filters.min_coverage(filters.max_tag(calls, int(max_tag)), float(min_coverage), genomes, "command")
+    lib.calls = filters.match_genome(calls, match_genome)
+    save(lib, output)
 
 
 @command("flake")
@@ -100,13 +149,17 @@ def flake(spark, inputs: str, output: str, **options) -> None:
 
 
 @command("stats")
-def stats(spark, inputs: str, output: str) -> None:
-    """Totals, called bases of each genome, placements and sizes, as lines of JSON."""
+def stats(spark, inputs: str, output: str, debug_unplaced: bool = False) -> None:
+    """Totals, called bases of each genome, placements and sizes, as lines of JSON; with ``debug_unplaced`` also the tags
+    that the reference doesn't have."""
     lib = load(spark, inputs)
     bases = lib.variants.select("tag", "hash", F.coalesce(F.length("seq"), F.lit(0)).alias("bases"))
     sizes = lib.variants.select(F.length("seq").alias("len"), F.col("seq").isNotNull().alias("known"))
     for name, df in (("totals", library.totals(lib.calls, lib.variants)), ("called_bases", library.called_bases(lib.calls, bases)), ("placements", library.placement_histogram(lib.ref_tiles)), ("sizes", library.size_histogram(sizes))):
         writers.write_lines(writers.to_json(df), f"{output}/{name}")
+    if debug_unplaced:
+        unplaced = lib.tags.join(lib.ref_tiles.select("tag"), "tag", "left_anti").select("tag", "tagseq").orderBy("tag")
+        writers.write_lines(writers.to_json(unplaced), f"{output}/unplaced")
 
 
 @command("dumpgob")
@@ -149,10 +202,21 @@ def annotate_(spark, inputs: str, output: str, variant_hash: bool = False, max_t
 
 
 @command("export")
-def export_(spark, inputs: str, output: str, output_format: str = "hgvs", output_bed: str = "", output_labels: str = "", z: bool = False, **options) -> None:
-    """Variants by position in a registered format, a directory for each chromosome."""
+def export_(spark, inputs: str, output: str, output_format: str = "hgvs", output_bed: str = "", output_labels: str = "", z: bool = False, cases: str = "", p_value: float = 1, **options) -> None:
+    """Variants by position in a registered format, a directory for each chromosome.
+
+    With ``p_value`` under 1 the matrix of hgvs-numpy keeps the variants whose p, of hom or het carriers among
+    ``cases`` (a file of name patterns) and all others, is that or less.
+    """
+    if float(p_value) < 1 and not (cases and output_format == "hgvs-numpy"):
+        raise ValueError("a p-value needs cases, and the format hgvs-numpy")
     lib = _filtered(load(spark, inputs), **options)
     out = workflows.export_variants(lib, output_format)
+    if float(p_value) < 1:
+        flags = people.case_flags(lib.calls.select(F.col("sample").alias("name")).distinct(), readers.read_patterns(spark, cases))
+        group = flags.select(F.col("name").alias("sample"), "is_case", F.lit(True).alias("is_training"))
+        kept = association.hgvs_filter(out, group, float(p_value), 0).select("hgvs")
+        out = out.join(kept, "hgvs", "left_semi")
     if "seqname" in out.columns:
         out.repartition("seqname").sortWithinPartitions("seqname", "position").write.option("compression", "gzip" if z else "none").partitionBy("seqname").csv(output, sep="\t")
     else:
@@ -166,28 +230,58 @@ def export_(spark, inputs: str, output: str, output_format: str = "hgvs", output
 
 
 @command("export-numpy")
-def export_numpy(spark, inputs: str, output: str, regions: str = "", expand_regions: int = 0, one_hot: bool = False, output_annotations: str = "", **options) -> None:
-    """Tile matrix in long form (or its one-hot columns), and annotations."""
+def export_numpy(spark, inputs: str, output: str, regions: str = "", expand_regions: int = 0, one_hot: bool = False, output_annotations: str = "", output_labels: str = "", hgvs: bool = False, npy: bool = True, tags_per_file: int = 50_000, **options) -> None:
+    """Tile matrix in long form (or its one-hot columns), and annotations; with ``npy`` matrix.NNNN.npy for ranges of
+    tags too (or onehot.npy, rows and columns of its ones), and with ``hgvs`` hgvs.npy, 0 and 1 by variant and phase."""
     lib = _filtered(load(spark, inputs), **options)
+    names = people.numbered(lib.calls.select(F.col("sample").alias("name")).distinct()).withColumnRenamed("name", "sample")
     cells, notes = workflows.tile_matrix(lib, readers.read_regions(spark, regions) if regions else None, int(expand_regions))
     if one_hot:
         columns = matrix.onehot_recode(cells)
         columns.write.parquet(f"{output}/columns")
-        cells = matrix.onehot_cells(cells, columns)
-    cells.write.parquet(f"{output}/cells")
+        ones = matrix.onehot_cells(cells, columns)
+        ones.write.parquet(f"{output}/cells")
+        if npy:
+            writers.write_coordinates(ones.join(names, "sample").select(F.col("idx").alias("row"), F.col("outcol").alias("col")), f"{output}/onehot.npy")
+    else:
+        cells.write.parquet(f"{output}/cells")
+        if npy:
+            _write_tiles(cells, lib, names, output, int(tags_per_file))
+    if hgvs:
+        ranked = workflows.ranked_variants(lib)
+        found = matrix.hgvs_cells(notes, library.renumber(lib.calls, ranked), lib.ref_tiles.join(ranked, ["tag", "hash"]).select("tag", "variant"), "present")
+        _write_phases(found, names, output)
     if output_annotations:
         notes.write.csv(output_annotations)
+    if output_labels:
+        rows = names.select("idx", F.col("sample").alias("label"), F.lit("").alias("file"))
+        writers.write_lines(writers.labels(rows.orderBy("idx")), output_labels)
+
+
+def _write_tiles(cells: DataFrame, lib: Library, names: DataFrame, output: str, tags_per_file: int) -> None:
+    """matrix.NNNN.npy for each range of tags among the cells: int16, a row for each sample, two columns for each tag."""
+    columns = matrix.output_columns(cells)
+    writers.write_matrices(writers.tile_cells(cells, columns, names, tags_per_file), "chunk", names.count(), "int16", lambda chunk: f"{output}/matrix.{chunk:04d}.npy")
+
+
+def _write_phases(found: DataFrame, names: DataFrame, output: str, absent: int = 0) -> None:
+    """hgvs.npy of cells (hgvs, sample, phase, value): int16, a column for each id and phase; a phase without a cell is ``absent``."""
+    pairs = found.groupBy("hgvs", "sample").agg(F.max(F.when(F.col("phase") == 0, F.col("value"))).alias("first"), F.max(F.when(F.col("phase") == 1, F.col("value"))).alias("second"))
+    writers.write_hgvs(pairs.select("hgvs", "sample", F.coalesce("first", F.lit(absent)).alias("first"), F.coalesce("second", F.lit(absent)).alias("second")), names, output, "int16")
 
 
 @command("slice-numpy")
-def slice_numpy(spark, inputs: str, output: str, samples: str = "", regions: str = "", expand_regions: int = 0, min_coverage: float = 0, case_control_only: bool = False, pca_components: int = 0, max_pca_tiles: int = 0, chi2_p_value: float = 1, pvalue_min_frequency: float = 0.01, max_frequency: float = 1, include_variant_1: bool = False, single_onehot: bool = False, single_hgvs_matrix: bool = False, chunked_hgvs_matrix: bool = False) -> None:
-    """Tile matrix, annotations, one-hot columns with their tests, HGVS matrices and components."""
+def slice_numpy(spark, inputs: str, output: str, samples: str = "", regions: str = "", expand_regions: int = 0, min_coverage: float = 0, case_control_only: bool = False, pca_components: int = 0, max_pca_tiles: int = 0, chi2_p_value: float = 1, pvalue_min_frequency: float = 0.01, max_frequency: float = 1, include_variant_1: bool = False, single_onehot: bool = False, single_hgvs_matrix: bool = False, chunked_hgvs_matrix: bool = False, npy: bool = True, tags_per_file: int = 50_000) -> None:
+    """Tile matrix, annotations, one-hot columns with their tests, HGVS matrices and components; as Parquet, and with ``npy``
+    as .npy files of the usual names too."""
     if float(chi2_p_value) < 1 and not samples or case_control_only and not samples:
         raise ValueError("this needs a samples file")
     lib = load(spark, inputs)
     names = people.numbered(lib.calls.select(F.col("sample").alias("name")).distinct()).withColumnRenamed("name", "sample")
     if samples:
         table = readers.read_samples(spark, samples)
+        if readers.check_samples(table).first() is not None:
+            raise ValueError("the samples aren't numbered 0, 1, 2...")
         names = table.select("idx", F.col("sample_id").alias("sample"), (F.col("case_control") == 1).alias("is_case"), (F.col("training") == 1).alias("is_training"), "training", "pca")
         names = filters.case_control_only(names) if case_control_only else names
         lib.calls = lib.calls.join(names.select("sample"), "sample", "left_semi")
@@ -195,7 +289,10 @@ def slice_numpy(spark, inputs: str, output: str, samples: str = "", regions: str
     cells, notes = workflows.tile_matrix(lib, readers.read_regions(spark, regions) if regions else None, int(expand_regions), float(min_coverage), n)
     cells.write.parquet(f"{output}/matrix")
     notes.write.csv(f"{output}/annotations")
-    library.slice_offsets(lib.ref_tiles).write.csv(f"{output}/chunk-tag-offset")
+    library.slice_offsets(lib.ref_tiles, int(tags_per_file)).write.csv(f"{output}/chunk-tag-offset")
+    rows = names.select("sample", (F.row_number().over(Window.orderBy("idx")) - 1).cast("long").alias("idx"))  # a row for each genome
+    if npy:
+        _write_tiles(cells, lib, rows, output, int(tags_per_file))
     numbered = library.renumber(lib.calls, workflows.ranked_variants(lib))
     carriers = matrix.genotypes(numbered)
     if single_onehot:
@@ -209,17 +306,33 @@ def slice_numpy(spark, inputs: str, output: str, samples: str = "", regions: str
                 scan = scan if float(chi2_p_value) >= 1 else scan.where((F.col("pvalue") < float(chi2_p_value)) & ~F.isnan("pvalue"))
             columns = matrix.numbered_columns(columns.drop("col").join(scan.select("tag", "variant", "hom", "pvalue", "maf"), ["tag", "variant", "hom"]))
             association.descriptors(columns).write.parquet(f"{output}/onehot-columns")
-        matrix.coordinates(carriers, columns, names.select("sample", "idx")).write.parquet(f"{output}/onehot")
+            tested = library.describe(columns=columns).select(F.col("n").alias("pvalueCallCount"))
+            writers.write_lines(writers.to_json(tested), f"{output}/stats")
+            if npy:
+                ordered = association.descriptors(columns.orderBy("col"))
+                writers.write_npy(spark, f"{output}/onehot-columns.npy", writers.array_of(ordered, ordered.columns, "int32"))
+        ones = matrix.coordinates(carriers, columns, rows)
+        ones.write.parquet(f"{output}/onehot")
+        if npy:
+            writers.write_coordinates(ones, f"{output}/onehot.npy")
     for wanted, mode in ((single_hgvs_matrix, "single"), (chunked_hgvs_matrix, "chunked")):
         if wanted:
             ranks = lib.ref_tiles.join(workflows.ranked_variants(lib), ["tag", "hash"]).select("tag", "variant")
             found = matrix.hgvs_cells(notes, numbered, ranks, mode)
-            (matrix.hgvs_homhet(found) if mode == "chunked" else found).write.parquet(f"{output}/hgvs-{mode}")
+            found = matrix.hgvs_homhet(found) if mode == "chunked" else found
+            found.write.parquet(f"{output}/hgvs-{mode}")
+            if npy and mode == "chunked":
+                writers.write_hgvs(found.select("hgvs", "sample", F.col("hom").alias("first"), F.col("het").alias("second")), rows, output, "int8", "seqname")
+            elif npy:
+                _write_phases(found, rows, output, -1)
     if int(pca_components):
         columns = matrix.stride_sample(matrix.numbered_columns(matrix.homhet_columns(carriers, include_variant_1)), int(max_pca_tiles))
         own = names if "is_training" in names.columns else names.withColumn("is_training", F.lit(True))
-        scores = pca.pca(matrix.coordinates(carriers, columns, own.select("sample", "idx")), own.drop("pca").withColumn("idx", F.col("idx").cast("long")), int(pca_components))
+        own = own.drop("pca", "idx").join(rows, "sample")
+        scores = pca.pca(matrix.coordinates(carriers, columns, rows), own, int(pca_components))
         scores.write.parquet(f"{output}/pca")
+        if npy:
+            writers.write_npy(spark, f"{output}/pca.npy", writers.matrix_of(scores, "idx", "pca", "float64"))
 
 
 @command("numpy-comvar")
@@ -256,10 +369,15 @@ def anno2vcf(spark, inputs: str, output: str) -> None:
 
 @command("diff-fasta")
 def diff_fasta(spark, a: str, b: str, offset: int = 0, sequence: str = "chr1") -> DataFrame:
-    """Changes between the sequences of two FASTA files."""
-    x = readers.read_fasta(spark, a).agg(F.array_join(F.collect_list("seq"), "").alias("a"))
-    y = readers.read_fasta(spark, b).agg(F.array_join(F.collect_list("seq"), "").alias("b"))
-    rows = x.crossJoin(y).select(F.explode(variants_udf(F.upper("a"), F.upper("b"))).alias("c"))
+    """Changes between the sequences of two FASTA files, each read whole, its contigs in the order of the file."""
+
+    def whole(path, name):
+        bases = F.regexp_replace(F.regexp_replace("value", "(?m)^>.*$", ""), r"\s", "")
+        files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.upper(bases).alias("seq"))
+        parts = F.array_sort(F.collect_list(F.struct("file", "seq")))
+        return files.agg(F.array_join(F.transform(parts, lambda p: p["seq"]), "").alias(name)).withColumn("one", F.lit(1))
+
+    rows = whole(a, "a").join(whole(b, "b"), "one").select(F.explode(variants_udf("a", "b")).alias("c"))
     at = F.col("c.position").cast("long") + int(offset)
     return rows.select(genomic(F.lit(sequence), at, F.col("c.ref"), F.col("c.new")).alias("hgvs"), F.lit(sequence).alias("seqname"), at.alias("position"), F.col("c.ref").alias("ref"), F.col("c.new").alias("new"))
 
@@ -280,9 +398,14 @@ COMMANDS["plot"] = COMMANDS["pca-plot"] = plot
 
 
 @command("manhattan-plot")
-def manhattan(spark, inputs: str, library_path: str, csv_output_threshold: float = 0) -> DataFrame:
-    """Points of a Manhattan plot of tested columns."""
-    return association.manhattan_points(spark.read.parquet(inputs), load(spark, library_path).ref_tiles, float(csv_output_threshold))
+def manhattan(spark, inputs: str, library_path: str, csv_output: str = "", csv_output_threshold: float = 0) -> DataFrame:
+    """Points of a Manhattan plot of tested columns; those with -log10 p of ``csv_output_threshold`` or more as CSV too."""
+    columns, tiles = spark.read.parquet(inputs), load(spark, library_path).ref_tiles
+    if "p" in columns.columns:  # descriptors, in millionths
+        columns = columns.withColumn("pvalue", F.col("p") / 1_000_000)
+    if csv_output:
+        association.manhattan_points(columns, tiles, float(csv_output_threshold)).write.csv(csv_output, header=True)
+    return association.manhattan_points(columns, tiles)
 
 
 @command("gvcf-regions")

@@ -91,15 +91,18 @@ def association_study(lib: Library, patterns: DataFrame | None, training: float
 
 
 def haplotypes_from_gvcf(ref: DataFrame, records: DataFrame, preset: str = "gatk", masked: bool = True) -> DataFrame:
-    """Haplotype contigs of one sample's gVCF (with ``sample_id``): variants put in, uncalled stretches n."""
+    """Haplotype contigs of the samples of gVCF records (with ``sample_id``): variants put in, uncalled stretches n."""
     sizes = ref.select("seqname", F.length("seq").cast("long").alias("size"))
     gt = vcf.format_field("GT").alias("gt")
     real = vcf.variants_only(records).select("sample_id", "chrom", "pos", "ref", "alt", gt)
     mask = None
     if masked:
-        name = records.select("sample_id").distinct()
-        called = intervals.called_regions(vcf.gvcf_blocks(records, preset), vcf.PRESETS[preset]["unreported_called"])
-        mask = intervals.complement(called, sizes).crossJoin(F.broadcast(name.limit(2)))
+        # each sample's contigs by names of their own
+        own = F.concat(F.col("sample_id").cast("string"), F.lit("\t"))
+        called = intervals.called_regions(vcf.gvcf_blocks(records.withColumn("chrom", F.concat(own, "chrom")), preset), vcf.PRESETS[preset]["unreported_called"])
+        every = records.select("sample_id").distinct().crossJoin(sizes).select("sample_id", "seqname", F.concat(own, "seqname").alias("name"), "size")
+        gaps = intervals.complement(called, every.select(F.col("name").alias("seqname"), "size"))
+        mask = gaps.withColumnRenamed("seqname", "name").join(every.drop("size"), "name").select("sample_id", "seqname", "start", "end")
     return vcf.consensus(ref, real, mask)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae import schema
+from tesserae.functions.sequences import trim_label
 
 FASTA_NAMES = r"\.(fa|fasta)(\.gz)?$"
 
@@ -118,13 +119,18 @@ def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     return parse_vcf(spark.read.text(path))
 
 
-def parse_vcf(lines: DataFrame) -> DataFrame:
-    """Data lines of a (g)VCF with one sample as columns, the line itself beside them."""
+def read_vcfs(spark: SparkSession, path: str) -> DataFrame:
+    """Records of many (g)VCF files, each of one sample, which its file names (``sample_id``)."""
+    return parse_vcf(spark.read.text(path).withColumn("sample_id", trim_label(F.input_file_name())), "sample_id")
+
+
+def parse_vcf(lines: DataFrame, *others: str) -> DataFrame:
+    """Data lines of a (g)VCF with one sample as columns, the line itself beside them, and ``others`` of its columns."""
     f = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(f.alias("f"), F.col("value").alias("line"))
+    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(f.alias("f"), F.col("value").alias("line"), *others)
     names = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format", "sample")
     cols = [F.get("f", k).alias(n) for k, n in enumerate(names)]
-    out = rows.select("line", *cols)
+    out = rows.select("line", *cols, *others)
     return out.withColumn("pos", F.col("pos").cast("long")).withColumn("qual", F.col("qual").try_cast("double"))
 
 
