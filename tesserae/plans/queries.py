@@ -58,21 +58,34 @@ def _called(s, d):
 
 
 MERGED = 'm AS (SELECT seqname, min("start") AS "start", max("end") AS "end" FROM (SELECT *, sum(CASE WHEN reach IS NULL OR "start" > reach THEN 1 ELSE 0 END) OVER (PARTITION BY seqname ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT *, max("end") OVER (PARTITION BY seqname ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM blocks WHERE called)) GROUP BY seqname, i)'
-GAPS = 'g AS (SELECT seqname, before AS "start", "start" AS "end" FROM (SELECT seqname, "start", coalesce(max("end") OVER (PARTITION BY seqname ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT * FROM m UNION ALL SELECT DISTINCT seqname, 50000, 50000 FROM blocks)) WHERE before < "start")'
+GAPS = 'g AS (SELECT seqname, before AS "start", "start" AS "end" FROM (SELECT seqname, "start", coalesce(max("end") OVER (PARTITION BY seqname ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT * FROM m UNION ALL SELECT DISTINCT seqname, 1000000000, 1000000000 FROM blocks)) WHERE before < "start")'
 
 
 # Association: the flagship.
 
 
-@query(
-    "chi2_scan",
-    """WITH t AS (SELECT c.*, s.is_case FROM carriers c JOIN samples s USING (sample) WHERE s.is_training AND c.tag IN (SELECT tag FROM carriers GROUP BY tag HAVING max(variant) >= 2) AND variant > 1),
+def _statistic(a, b, n="n", cases="cases"):
+    e, f = f"(({a} + {b}) * {cases} / {n})", f"(({a} + {b}) * ({n} - {cases}) / {n})"
+    return f"(({a} - {e}) * ({a} - {e}) / {e} + ({b} - {f}) * ({b} - {f}) / {f})"
+
+
+def _pvalue(statistic):
+    """Chance of a larger chi-square with 1 degree of freedom: 1 - erf(x), x = sqrt(statistic / 2), erf by a series of positive terms."""
+    x = f"sqrt({statistic} / 2)"
+    return f"CASE WHEN coalesce({statistic}, 0) = 0 THEN 1 ELSE 1 - exp(-{statistic} / 2) * list_sum(list_transform(range(0, 200), lambda n: exp((2 * n + 1) * ln({x}) - lgamma(n + 1.5)))) END"
+
+
+TESTED = f"""t AS (SELECT c.*, s.is_case FROM carriers c JOIN samples s USING (sample) WHERE s.is_training AND c.tag IN (SELECT tag FROM carriers GROUP BY tag HAVING max(variant) >= 2) AND variant > 1),
     k AS (SELECT count(*) AS n, count(*) FILTER (is_case) AS cases FROM samples WHERE is_training),
     f AS (SELECT tag, variant, sum(CASE WHEN hom THEN 2 ELSE 1 END) / (2 * any_value(n)) AS maf FROM t, k GROUP BY 1, 2),
-    ab AS (SELECT tag, variant, hom, count(*) FILTER (is_case) AS a, count(*) FILTER (NOT is_case) AS b FROM t GROUP BY 1, 2, 3)
-    SELECT tag, variant, hom, a, b, round(maf, 6) AS maf,
-      round((a - (a + b) * cases / n) * (a - (a + b) * cases / n) / ((a + b) * cases / n) + (b - (a + b) * (n - cases) / n) * (b - (a + b) * (n - cases) / n) / ((a + b) * (n - cases) / n), 6) AS statistic
-    FROM ab JOIN f USING (tag, variant), k WHERE maf BETWEEN 0.01 AND 1""",
+    ab AS (SELECT tag, variant, hom, count(*) FILTER (is_case) AS a, count(*) FILTER (NOT is_case) AS b FROM t GROUP BY 1, 2, 3),
+    stat AS (SELECT tag, variant, hom, a, b, maf, {_statistic("a", "b")} AS statistic FROM ab JOIN f USING (tag, variant), k WHERE maf BETWEEN 0.01 AND 1),
+    tested AS (SELECT *, {_pvalue("statistic")} AS pvalue FROM stat)"""
+
+
+@query(
+    "chi2_scan",
+    f"WITH {TESTED} SELECT tag, variant, hom, a, b, round(maf, 6) AS maf, round(statistic, 6) AS statistic FROM tested",
     "carriers",
     "samples",
 )
@@ -81,12 +94,13 @@ def chi2_scan(s, d):
     return scan.select("tag", "variant", "hom", "a", "b", F.round("maf", 6).alias("maf"), F.round("statistic", 6).alias("statistic"))
 
 
-@query("chi2_pvalues")
+@query("chi2_pvalues", f"WITH {TESTED} SELECT tag, variant, hom, a, b, round(maf, 6) AS maf, round(statistic, 6) AS statistic, round(pvalue, 6) AS pvalue FROM tested WHERE pvalue < 0.5", "carriers", "samples")
 def chi2_pvalues(s, d):
-    return association.with_pvalue(association.chi2_scan(_carriers(s, d), V.samples(s, d)), 0.5)
+    found = association.with_pvalue(association.chi2_scan(_carriers(s, d), V.samples(s, d)), 0.5)
+    return found.select("tag", "variant", "hom", "a", "b", *(F.round(c, 6).alias(c) for c in ("maf", "statistic", "pvalue")))
 
 
-@query("onehot_descriptors")
+@query("onehot_descriptors", f"WITH {TESTED} SELECT tag, variant, hom::INT AS hom, trunc(pvalue * 1000000)::INT AS p, trunc(-log10(pvalue) * 1000000)::INT AS log_p, trunc(maf * 1000000)::INT AS maf FROM tested", "carriers", "samples")
 def onehot_descriptors(s, d):
     return association.descriptors(association.with_pvalue(association.chi2_scan(_carriers(s, d), V.samples(s, d))))
 
@@ -154,14 +168,14 @@ def tile_matrix_low_coverage(s, d):
     return matrix.matrix_cells(V.calls(s, d), _ranked(s, d), kept)
 
 
-@query("output_columns", "SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS outcol FROM (SELECT DISTINCT tag FROM calls WHERE tag % 3 <> 0)", "calls")
+@query("output_columns", "SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS outcol FROM (SELECT DISTINCT tag FROM calls)", "calls")
 def output_columns(s, d):
-    return matrix.output_columns(V.calls(s, d).where("tag % 3 <> 0"))
+    return matrix.output_columns(V.calls(s, d))
 
 
-@query("matrix_rows", "WITH cell AS (SELECT sample, tag, phase, CASE WHEN known THEN variant ELSE -1 END AS value FROM numbered WHERE tag < 20), grid AS (SELECT DISTINCT c.sample, t.tag, p.phase FROM cell c, (SELECT DISTINCT tag FROM cell) t, (SELECT unnest([0, 1]) AS phase) p) SELECT sample, string_agg(coalesce(value, 0)::VARCHAR, ',' ORDER BY tag, phase) AS cells FROM grid LEFT JOIN cell USING (sample, tag, phase) GROUP BY sample", "numbered")
+@query("matrix_rows", "WITH cell AS (SELECT sample, tag, phase, CASE WHEN known THEN variant ELSE -1 END AS value FROM numbered), grid AS (SELECT DISTINCT c.sample, t.tag, p.phase FROM cell c, (SELECT DISTINCT tag FROM cell) t, (SELECT unnest([0, 1]) AS phase) p) SELECT sample, string_agg(coalesce(value, 0)::VARCHAR, ',' ORDER BY tag, phase) AS cells FROM grid LEFT JOIN cell USING (sample, tag, phase) GROUP BY sample", "numbered")
 def matrix_rows(s, d):
-    cells = matrix.matrix_cells(V.calls(s, d), _ranked(s, d)).where("tag < 20")
+    cells = matrix.matrix_cells(V.calls(s, d), _ranked(s, d))
     return matrix.dense_rows(cells, matrix.output_columns(cells)).select("sample", F.array_join(F.transform("row", lambda x: x.cast("string")), ",").alias("cells"))
 
 
@@ -392,9 +406,12 @@ def hgvs_matrix_present(s, d):
     return matrix.hgvs_cells(_notes(s, d), _numbered(s, d), _ref_variants(s, d), "present")
 
 
+HOMHET_CELLS = "cell AS (SELECT hgvs, sample, phase, max(CASE WHEN has THEN 1 WHEN is_ref THEN 0 WHEN compared THEN 0 ELSE -1 END) AS value FROM here GROUP BY 1, 2, 3), pair AS (SELECT hgvs, sample, coalesce(max(value) FILTER (phase = 0), -1) AS a, coalesce(max(value) FILTER (phase = 1), -1) AS b FROM cell GROUP BY 1, 2), hh AS (SELECT hgvs, sample, CASE WHEN a < 0 OR b < 0 THEN -1 WHEN a = 1 AND b = 1 THEN 1 ELSE 0 END::BIGINT AS hom, CASE WHEN a < 0 OR b < 0 THEN -1 WHEN (a = 1) <> (b = 1) THEN 1 ELSE 0 END::BIGINT AS het FROM pair)"
+
+
 @query(
     "hgvs_homhet",
-    f"WITH {NOTES}, cell AS (SELECT hgvs, sample, phase, max(CASE WHEN has THEN 1 WHEN is_ref THEN 0 WHEN compared THEN 0 ELSE -1 END) AS value FROM here GROUP BY 1, 2, 3), p AS (SELECT hgvs, sample, coalesce(max(value) FILTER (phase = 0), -1) AS a, coalesce(max(value) FILTER (phase = 1), -1) AS b FROM cell GROUP BY 1, 2) SELECT hgvs, sample, CASE WHEN a < 0 OR b < 0 THEN -1 WHEN a = 1 AND b = 1 THEN 1 ELSE 0 END::BIGINT AS hom, CASE WHEN a < 0 OR b < 0 THEN -1 WHEN (a = 1) <> (b = 1) THEN 1 ELSE 0 END::BIGINT AS het FROM p",
+    f"WITH {NOTES}, {HOMHET_CELLS} SELECT * FROM hh",
     "numbered",
     "ref",
 )
@@ -402,10 +419,21 @@ def hgvs_homhet(s, d):
     return matrix.hgvs_homhet(matrix.hgvs_cells(_notes(s, d), _numbered(s, d), _ref_variants(s, d), "chunked"))
 
 
-@query("hgvs_filter")
+@query(
+    "hgvs_filter",
+    f"""WITH {NOTES}, {HOMHET_CELLS}, k AS (SELECT count(*) AS n, count(*) FILTER (is_case) AS cases FROM samples WHERE is_training),
+    c AS (SELECT hgvs, count(*) FILTER (hom >= 0) AS called, count(*) FILTER (hom = 1 AND is_case) AS hom_a, count(*) FILTER (hom = 1 AND NOT is_case) AS hom_b, count(*) FILTER (het = 1 AND is_case) AS het_a, count(*) FILTER (het = 1 AND NOT is_case) AS het_b FROM hh JOIN samples USING (sample) WHERE is_training GROUP BY hgvs),
+    x AS (SELECT c.*, CASE WHEN hom_a + hom_b > 0 THEN {_statistic("hom_a", "hom_b")} END AS x_hom, CASE WHEN het_a + het_b > 0 THEN {_statistic("het_a", "het_b")} END AS x_het FROM c, k WHERE called >= 10),
+    p AS (SELECT *, {_pvalue("x_hom")} AS ph, {_pvalue("x_het")} AS pt FROM x)
+    SELECT hgvs, called, hom_a, hom_b, het_a, het_b, round(ph, 6) AS p_hom, round(pt, 6) AS p_het FROM p WHERE ph <= 0.2 OR pt <= 0.2""",
+    "numbered",
+    "ref",
+    "samples",
+)
 def hgvs_filter(s, d):
     cells = matrix.hgvs_homhet(matrix.hgvs_cells(_notes(s, d), _numbered(s, d), _ref_variants(s, d), "chunked"))
-    return association.hgvs_filter(cells, V.samples(s, d), 0.2, 10)
+    found = association.hgvs_filter(cells, V.samples(s, d), 0.2, 10)
+    return found.withColumn("p_hom", F.round("p_hom", 6)).withColumn("p_het", F.round("p_het", 6))
 
 
 @query("pca_gram", f"WITH {HOMHET}, o AS (SELECT sample AS row, col FROM carriers JOIN nc USING (tag, variant, hom)) SELECT x.row AS a, y.row AS b, count(*) AS n FROM o x JOIN o y ON x.col = y.col WHERE x.row <= y.row GROUP BY 1, 2", "carriers")
@@ -434,21 +462,21 @@ def ref_tiles(s, d):
     return _placed(s, d)
 
 
-@query("ref_unique_tiles", "SELECT tag, seqname, step, len, pos FROM (SELECT l_partkey % 997 AS tag, 'chr' || (l_suppkey % 3)::VARCHAR AS seqname, o AS step, 148 AS len, (row_number() OVER (PARTITION BY l_suppkey % 3 ORDER BY o) - 1) * 124 AS pos, count(*) OVER (PARTITION BY l_partkey % 997) AS c FROM (SELECT DISTINCT l_partkey, l_suppkey, l_partkey * 1000 + l_suppkey AS o FROM lineitem WHERE l_orderkey < 500)) WHERE c = 1")
+@query("ref_unique_tiles", "SELECT tag, seqname, step, len, pos FROM (SELECT l_partkey * 53 + l_suppkey AS tag, 'chr' || (l_suppkey % 3)::VARCHAR AS seqname, o AS step, 148 AS len, (row_number() OVER (PARTITION BY l_suppkey % 3 ORDER BY o) - 1) * 124 AS pos, count(*) OVER (PARTITION BY l_partkey * 53 + l_suppkey) AS c FROM (SELECT DISTINCT l_partkey, l_suppkey, l_partkey * 100000 + l_suppkey AS o FROM lineitem)) WHERE c = 1")
 def ref_unique_tiles(s, d):
-    rows = V.table(s, d, "lineitem").where("l_orderkey < 500").select("l_partkey", "l_suppkey").distinct()
-    path = rows.select((F.col("l_partkey") % 997).alias("tag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3).cast("string")).alias("seqname"), (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("step"), F.lit(148).alias("len"))
+    rows = V.table(s, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    path = rows.select((F.col("l_partkey") * 53 + F.col("l_suppkey")).alias("tag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3).cast("string")).alias("seqname"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("step"), F.lit(148).alias("len"))
     return reference.unique_tiles(reference.place_tiles(path))
 
 
-@query("ref_successor", "SELECT tag, seqname, pos, coalesce(lead(tag) OVER (PARTITION BY seqname ORDER BY pos, tag), -1) AS next_tag FROM placed WHERE tag % 3 <> 1", "placed")
+@query("ref_successor", "SELECT tag, seqname, pos, coalesce(lead(tag) OVER (PARTITION BY seqname ORDER BY pos, tag), -1) AS next_tag FROM placed", "placed")
 def ref_successor(s, d):
-    return reference.successors(_placed(s, d).where("tag % 3 <> 1")).select("tag", "seqname", "pos", "next_tag")
+    return reference.successors(_placed(s, d)).select("tag", "seqname", "pos", "next_tag")
 
 
-@query("tile_bounds", "SELECT tag, seqname, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE pos END AS \"start\", coalesce(lead(pos) OVER w + 24, 100000) AS \"end\" FROM placed WHERE tag % 4 <> 2 WINDOW w AS (PARTITION BY seqname ORDER BY pos)", "placed")
+@query("tile_bounds", "SELECT tag, seqname, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE pos END AS \"start\", coalesce(lead(pos) OVER w + 24, 100000) AS \"end\" FROM placed WINDOW w AS (PARTITION BY seqname ORDER BY pos)", "placed")
 def tile_bounds(s, d):
-    return reference.tile_bounds(_placed(s, d).where("tag % 4 <> 2"), F.lit(100000)).select("tag", "seqname", "start", "end")
+    return reference.tile_bounds(_placed(s, d), F.lit(100000)).select("tag", "seqname", "start", "end")
 
 
 @query("reference_sequence", "SELECT seqname, string_agg(CASE WHEN n = 1 THEN seq ELSE substr(seq, 3) END, '' ORDER BY step) AS seq FROM (SELECT seqname, step, hash || 'ac' AS seq, row_number() OVER (PARTITION BY seqname ORDER BY step) AS n FROM ref) GROUP BY seqname", "ref")
@@ -456,9 +484,10 @@ def reference_sequence(s, d):
     return reference.reference_sequence(V.ref_tiles(s, d).withColumn("seq", F.concat("hash", F.lit("ac"))), 2)
 
 
-@query("reference_lengths", "SELECT lang AS label, sum(length(trim(source)))::BIGINT AS length FROM documents GROUP BY 1")
+@query("reference_lengths", "SELECT doc_id::VARCHAR AS label, sum(length(trim(line)))::BIGINT AS length FROM (SELECT doc_id, unnest(string_split(seq, 'n')) AS line FROM contigs) GROUP BY 1", "contigs")
 def reference_lengths(s, d):
-    return reference.reference_lengths(V.table(s, d, "documents").select(F.col("lang").alias("label"), F.col("source").alias("line")))
+    """Bases of contigs cut into lines where a base isn't known."""
+    return reference.reference_lengths(V.contigs(s, d).select(F.col("doc_id").cast("string").alias("label"), F.explode(F.split("seq", "n")).alias("line")))
 
 
 BED = 'SELECT seqname, pos AS "start", pos + len AS "end", tag, {score} AS score, CASE WHEN lag(pos) OVER w IS NULL THEN pos ELSE pos + 24 END AS thick_start, CASE WHEN lead(pos) OVER w IS NULL THEN pos + len ELSE pos + len - 24 END AS thick_end FROM {rows} WINDOW w AS (PARTITION BY seqname ORDER BY pos)'
@@ -503,12 +532,12 @@ def interval_merge(s, d):
 
 
 def _sizes(s, d):
-    return V.blocks(s, d).select("seqname", F.lit(50000).cast("long").alias("size")).distinct()
+    return V.blocks(s, d).select("seqname", F.lit(1_000_000_000).cast("long").alias("size")).distinct()
 
 
 @query("interval_complement", f"WITH {MERGED}, {GAPS} SELECT * FROM g", "blocks")
 def interval_complement(s, d):
-    return intervals.complement(_called(s, d).where("end <= 50000"), _sizes(s, d))
+    return intervals.complement(_called(s, d), _sizes(s, d))
 
 
 @query("interval_intersect", 'SELECT s.seqname, greatest(s."start", r."start") AS "start", least(s."end", r."end") AS "end" FROM spans s JOIN regions r ON r.seqname = s.seqname AND r."start" < s."end" AND r."end" > s."start"', "spans", "regions")
@@ -536,23 +565,43 @@ def gvcf_islands(s, d):
     return intervals.called_islands(V.blocks(s, d))
 
 
-@query("gvcf_regions")
+def _regions_sql(unreported):
+    """Blocks read one by one: e is the end so far, op where the open region began, (x, y) a region that this block ends."""
+    gap, u = 'o."start" > w.e', "true" if unreported else "false"
+    op = f"CASE WHEN {gap} AND {u} AND w.op IS NULL THEN w.e WHEN {gap} AND NOT {u} THEN NULL ELSE w.op END"
+    inside = 'o."start" < w.e'
+    return f"""WITH RECURSIVE {V.SQL["blocks"]}, o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY seqname ORDER BY "start", "end", called DESC) AS i FROM blocks),
+    w AS (SELECT seqname, i, "end" AS e, CASE WHEN called THEN "start" END AS op, NULL::BIGINT AS x, NULL::BIGINT AS y FROM o WHERE i = 1
+      UNION ALL SELECT o.seqname, o.i,
+        CASE WHEN {inside} THEN CASE WHEN w.op IS NOT NULL AND o.called THEN greatest(w.e, o."end") ELSE w.e END ELSE o."end" END,
+        CASE WHEN {inside} THEN w.op WHEN o.called THEN coalesce({op}, o."start") END,
+        CASE WHEN {inside} THEN NULL WHEN {gap} AND NOT {u} THEN w.op WHEN NOT o.called THEN {op} END,
+        CASE WHEN {gap} AND NOT {u} THEN w.e ELSE o."start" END
+      FROM w JOIN o ON o.seqname = w.seqname AND o.i = w.i + 1)
+    SELECT seqname, x AS "start", y AS "end" FROM w WHERE x IS NOT NULL
+    UNION ALL SELECT seqname, op, e FROM w WHERE op IS NOT NULL AND (seqname, i) IN (SELECT (seqname, max(i)) FROM o GROUP BY seqname)"""
+
+
+@query("gvcf_regions", _regions_sql(False))
 def gvcf_regions(s, d):
     return intervals.called_regions(V.blocks(s, d))
 
 
-@query("gvcf_regions_unreported_called")
+@query("gvcf_regions_unreported_called", _regions_sql(True))
 def gvcf_regions_unreported_called(s, d):
     return intervals.called_regions(V.blocks(s, d), unreported_called=True)
 
 
 @query(
     "overlap_clean",
-    'WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY seqname ORDER BY "start", "end") AS i FROM (SELECT seqname, "start", "end" + 3 AS "end" FROM blocks WHERE "start" < 1200)), w AS (SELECT seqname, i, "start", "end", "end" AS reach, true AS keep FROM o WHERE i = 1 UNION ALL SELECT o.seqname, o.i, o."start", o."end", CASE WHEN o."start" >= w.reach THEN o."end" ELSE w.reach END, o."start" >= w.reach FROM w JOIN o ON o.seqname = w.seqname AND o.i = w.i + 1) SELECT seqname, "start", "end" FROM w WHERE keep'.replace("WITH RECURSIVE o AS (SELECT *", "WITH RECURSIVE " + V.SQL["blocks"] + ", o AS (SELECT *"),
+    f"""WITH o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY seqname ORDER BY "start", "end") AS i FROM (SELECT seqname, "start", "end" + 3 AS "end" FROM blocks)),
+    head AS MATERIALIZED (SELECT seqname, "start", min(i) AS i FROM o GROUP BY 1, 2),
+    node AS MATERIALIZED (SELECT o.seqname AS grp, o.i, h.i AS nxt FROM o ASOF LEFT JOIN head h ON o.seqname = h.seqname AND o."end" <= h."start"), {V.chain("node")}
+    SELECT seqname, "start", "end" FROM o JOIN s0 ON seqname = grp AND o.i = s0.i""",
+    "blocks",
 )
 def overlap_clean(s, d):
-    rows = V.blocks(s, d).where("start < 1200").select("seqname", "start", (F.col("end") + 3).alias("end"))
-    return intervals.drop_overlapping(rows)
+    return intervals.drop_overlapping(V.blocks(s, d).select("seqname", "start", (F.col("end") + 3).alias("end")))
 
 
 # Sequences.
@@ -585,7 +634,11 @@ def kept_and_dropped_tags(s, d):
     return tiling.kept_and_dropped(_hits(s, d))
 
 
-@query("greedy_hits")
+#: Of overlapping hits the first, from the left: each hit points to the next that begins after it.
+GREEDY = f"{KMERS}, spot AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM k), node AS MATERIALIZED (SELECT a.doc_id AS grp, a.i, b.i AS nxt FROM spot a ASOF LEFT JOIN spot b ON a.doc_id = b.doc_id AND a.pos + 6 <= b.pos), {V.chain('node')}, g AS MATERIALIZED (SELECT doc_id, pos, tag FROM spot JOIN s0 ON doc_id = grp AND spot.i = s0.i)"
+
+
+@query("greedy_hits", f"WITH {GREEDY} SELECT doc_id AS sample, pos, tag FROM g", "contigs", "tags")
 def greedy_hits(s, d):
     hits = tiling.greedy_hits(_hits(s, d), 6, ("sample", "phase", "seqname"))
     return hits.select("sample", F.explode("hits").alias("h")).select("sample", "h.pos", "h.tag")
@@ -596,7 +649,13 @@ def _tiles(s, d, **options):
     return tiling.tile_contigs(contigs, V.tags(s, d), 6, **options)
 
 
-@query("tile_contigs")
+@query(
+    "tile_contigs",
+    f"""WITH {GREEDY}, b AS (SELECT g.doc_id, (row_number() OVER w - 1)::INT AS step, tag::INT AS tag, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE pos END AS "start", coalesce(lead(pos) OVER w + 6, length(seq)) AS "end", seq FROM g JOIN contigs c ON c.doc_id = g.doc_id WINDOW w AS (PARTITION BY g.doc_id ORDER BY pos))
+    SELECT doc_id AS sample, 0 AS phase, 'c' AS seqname, step, tag, "start", "end", substr(seq, "start" + 1, "end" - "start") AS seq FROM b""",
+    "contigs",
+    "tags",
+)
 def tile_contigs(s, d):
     return _tiles(s, d, keep_duplicates=True)[0]
 
@@ -606,10 +665,16 @@ def lis_filter(s, d):
     return _tiles(s, d, skip_out_of_order=True)[0].select("sample", "step", "tag", "start", "end")
 
 
-@query("import_stats", "SELECT doc_id AS sample, length(seq) AS length, length(regexp_replace(seq, '[^acgt]', '', 'g')) AS bases FROM contigs", "contigs")
+@query(
+    "import_stats",
+    f"""WITH {GREEDY}, n AS (SELECT doc_id, count(*) FILTER (times = 1) AS path_length, count(*) FILTER (times > 1) AS dropped_dup FROM (SELECT doc_id, count(*) OVER (PARTITION BY doc_id, tag) AS times FROM g) GROUP BY 1)
+    SELECT c.doc_id AS sample, coalesce(length(seq), 0) AS length, coalesce(length(regexp_replace(seq, '[^acgt]', '', 'g')), 0) AS bases, coalesce(path_length, 0) AS path_length, coalesce(dropped_dup, 0) AS dropped_dup, 0::BIGINT AS dropped_ooo FROM contigs c LEFT JOIN n ON n.doc_id = c.doc_id""",
+    "contigs",
+    "tags",
+)
 def import_stats(s, d):
     tiles, stats = _tiles(s, d)
-    return tiling.import_statistics(tiles, stats).select("sample", "length", "bases")
+    return tiling.import_statistics(tiles, stats).select("sample", "length", "bases", "path_length", "dropped_dup", "dropped_ooo")
 
 
 @query("tile_hash", "SELECT doc_id, sha256(seq) AS hash, substr(sha256(seq), 1, 13) AS prefix FROM contigs", "contigs")
@@ -651,14 +716,14 @@ def label_trim(s, d):
 
 # HGVS and exports.
 
-EDITS = "edit AS (SELECT l_orderkey, l_linenumber, l_partkey AS position, CASE l_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'A' WHEN 2 THEN 'AC' ELSE 'G' END AS ref, CASE l_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'A' WHEN 2 THEN 'TT' ELSE 'G' END AS new, l_returnflag AS \"left\" FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem WHERE l_orderkey < 3000))"
+EDITS = "edit AS (SELECT l_orderkey, l_linenumber, l_partkey AS position, CASE l_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'A' WHEN 2 THEN 'AC' ELSE 'G' END AS ref, CASE l_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'A' WHEN 2 THEN 'TT' ELSE 'G' END AS new, l_returnflag AS \"left\" FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem))"
 
 
 def _edits(s, d):
     p, q = F.col("l_partkey") % 4, F.col("l_suppkey") % 4
     ref = F.when(p == 0, "").when(p == 1, "A").when(p == 2, "AC").otherwise("G")
     new = F.when(q == 0, "").when(q == 1, "A").when(q == 2, "TT").otherwise("G")
-    rows = V.table(s, d, "lineitem").where("l_orderkey < 3000").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").distinct()
+    rows = V.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").distinct()
     return rows.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("position"), ref.alias("ref"), new.alias("new"), F.col("l_returnflag").alias("left"))
 
 
@@ -986,3 +1051,53 @@ def region_lines(s, d):
     a, b = (k * 10).cast("string"), (k * 10 + 20).cast("string")
     line = F.when(k % 4 < 2, F.concat_ws("\t", F.concat(F.lit("chr"), "n_name"), a, b, F.lit("x"))).when(k % 4 == 2, F.concat_ws("\t", "n_name", F.lit("src"), F.lit("gene"), a, b)).otherwise(F.concat(F.lit("#"), "n_name"))
     return parse_regions(V.table(s, d, "nation").select(line.alias("value")), 5)
+
+
+# The same over views that grow with the tables: a tag for each part, about a call for each line.
+
+
+def _wide(name):
+    """Register a query over wide views; its SQL is that of the narrow one, ``name``."""
+
+    def add(fn):
+        QUERIES[f"wide_{name}"] = fn
+        ORACLE[f"wide_{name}"] = ORACLE[name].replace("l_partkey % 200 AS tag", "l_partkey AS tag")
+        return fn
+
+    return add
+
+
+def _wide_ranked(s, d):
+    return library.rank_variants(library.allele_counts(V.calls(s, d, True), V.ref_tiles(s, d, True)))
+
+
+def _wide_carriers(s, d):
+    return matrix.genotypes(library.renumber(V.calls(s, d, True), _wide_ranked(s, d)))
+
+
+@_wide("variant_rank")
+def wide_variant_rank(s, d):
+    return _wide_ranked(s, d)
+
+
+@_wide("tile_matrix_long")
+def wide_tile_matrix_long(s, d):
+    return matrix.matrix_cells(V.calls(s, d, True), _wide_ranked(s, d))
+
+
+@_wide("chi2_scan")
+def wide_chi2_scan(s, d):
+    scan = association.chi2_scan(_wide_carriers(s, d), V.samples(s, d))
+    return scan.select("tag", "variant", "hom", "a", "b", F.round("maf", 6).alias("maf"), F.round("statistic", 6).alias("statistic"))
+
+
+@_wide("onehot_coo")
+def wide_onehot_coo(s, d):
+    carriers = _wide_carriers(s, d)
+    columns = matrix.numbered_columns(matrix.homhet_columns(carriers))
+    return matrix.coordinates(carriers, columns, V.samples(s, d).select("sample", F.col("sample").alias("idx")))
+
+
+@_wide("filter_max_variants")
+def wide_filter_max_variants(s, d):
+    return filters.max_variants(V.calls(s, d, True), 17)

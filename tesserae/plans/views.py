@@ -13,16 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, tag, phase, hash, known)"""
+def calls(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """(sample, tag, phase, hash, known); 200 tags, or if ``wide`` as many as there are parts, about a call for each line."""
+    tag = F.col("l_partkey") if wide else F.col("l_partkey") % 200
     hash_ = F.max(F.concat("l_returnflag", "l_linestatus", (F.col("l_quantity").cast("int") % 3).cast("string")))
-    rows = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % N_SAMPLES).alias("sample"), (F.col("l_partkey") % 200).alias("tag"), (F.col("l_linenumber") % 2).alias("phase")).agg(hash_.alias("hash"))
+    rows = table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % N_SAMPLES).alias("sample"), tag.alias("tag"), (F.col("l_linenumber") % 2).alias("phase")).agg(hash_.alias("hash"))
     return rows.withColumn("known", ~F.col("hash").endswith("0"))
 
 
-def ref_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ref_tiles(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
     """(tag, seqname, step, hash, len, bases)"""
-    rows = calls(spark, sf_dir).groupBy("tag").agg(F.min("hash").alias("hash"))
+    rows = calls(spark, sf_dir, wide).groupBy("tag").agg(F.min("hash").alias("hash"))
     length = (148 + (F.col("tag") % 7) * 10).cast("long")
     return rows.select("tag", F.concat(F.lit("chr"), (F.floor(F.col("tag") / 50) + 1).cast("string")).alias("seqname"), F.col("tag").alias("step"), "hash", length.alias("len"), (length - F.col("tag") % 5).alias("bases"))
 
@@ -33,8 +34,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.col("p_partkey") * 3 % 6000
-    return table(spark, sf_dir, "part").where("p_partkey % 19 = 0").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 4 + 1).cast("string")).alias("seqname"), start.alias("start"), (start + F.col("p_size")).alias("end"))
+    start = F.col("p_partkey") * 53 % 100_000
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 4 + 1).cast("string")).alias("seqname"), start.alias("start"), (start + F.col("p_size")).alias("end"))
 
 
 def to_bases(text):
@@ -69,7 +70,7 @@ SQL = {
     "ranked": "ranked AS (SELECT tag, hash, n, row_number() OVER (PARTITION BY tag ORDER BY n DESC, hash) AS variant FROM counts)",
     "numbered": "numbered AS (SELECT c.*, coalesce(r.variant, 0) AS variant FROM calls c LEFT JOIN ranked r USING (tag, hash))",
     "carriers": "carriers AS (SELECT sample, tag, variant, count(*) >= 2 AS hom FROM numbered WHERE known AND variant > 0 GROUP BY 1, 2, 3)",
-    "regions": "regions AS (SELECT 'chr' || (p_partkey % 4 + 1)::VARCHAR AS seqname, p_partkey * 3 % 6000 AS \"start\", p_partkey * 3 % 6000 + p_size AS \"end\" FROM part WHERE p_partkey % 19 = 0)",
+    "regions": "regions AS (SELECT 'chr' || (p_partkey % 4 + 1)::VARCHAR AS seqname, p_partkey * 53 % 100000 AS \"start\", p_partkey * 53 % 100000 + p_size AS \"end\" FROM part)",
     "spans": "spans AS (SELECT tag, seqname, pos AS \"start\", pos + len AS \"end\" FROM placed)",
     "contigs": f"contigs AS (SELECT doc_id, regexp_replace(translate(lower(text), '{LETTERS}', '{BASES}'), '[^acgt]', 'n', 'g') AS seq FROM documents)",
     "tags": f"tags AS (SELECT row_number() OVER (ORDER BY tagseq) - 1 AS tag, tagseq FROM (SELECT DISTINCT substr(regexp_replace(translate(lower(text), '{LETTERS}', '{BASES}'), '[^acgt]', 'n', 'g'), 1, 6) AS tagseq FROM benchmark) WHERE tagseq NOT LIKE '%n%' AND length(tagseq) = 6)",
@@ -79,6 +80,16 @@ ORDER = list(SQL)
 NEEDS = {"ref": ["calls"], "placed": ["ref"], "counts": ["calls", "ref"], "ranked": ["counts"], "numbered": ["calls", "ranked"], "carriers": ["numbered"], "spans": ["placed"]}
 
 
+def chain(nodes: str, depth: int = 17) -> str:
+    """Common table expressions that end in s0 (grp, i): the places reached from place 1 of each group of ``nodes`` (grp, i,
+    nxt) by following nxt. Pointers are doubled, so 2 ** depth steps take 2 * depth joins."""
+    out = [f"j0 AS MATERIALIZED (SELECT grp, i, nxt FROM {nodes} WHERE nxt IS NOT NULL)"]
+    out += [f"j{k} AS MATERIALIZED (SELECT a.grp, a.i, b.nxt FROM j{k - 1} a JOIN j{k - 1} b ON a.grp = b.grp AND a.nxt = b.i)" for k in range(1, depth)]
+    out.append(f"s{depth} AS MATERIALIZED (SELECT grp, i FROM {nodes} WHERE i = 1)")
+    out += [f"s{k} AS MATERIALIZED (SELECT grp, i FROM s{k + 1} UNION ALL SELECT s.grp, j.nxt FROM s{k + 1} s JOIN j{k} j ON s.grp = j.grp AND s.i = j.i)" for k in range(depth - 1, -1, -1)]
+    return ", ".join(out)
+
+
 def with_views(body: str, *names: str) -> str:
     """``body`` after the views it names and those they need."""
     todo, need = list(names), set()
