@@ -660,7 +660,20 @@ def tile_contigs(s, d):
     return _tiles(s, d, keep_duplicates=True)[0]
 
 
-@query("lis_filter")
+@query(
+    "lis_filter",
+    f"""WITH RECURSIVE {GREEDY}, d AS MATERIALIZED (SELECT doc_id, pos, tag, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, tag) AS times FROM g) WHERE times = 1),
+    l AS (SELECT doc_id, i, [tag] AS tags, [1::BIGINT] AS lens FROM d WHERE i = 1
+      UNION ALL SELECT d.doc_id, d.i, list_append(l.tags, d.tag), list_append(l.lens, 1 + list_max(list_transform(range(1, len(l.tags) + 1), lambda k: CASE WHEN l.tags[k] < d.tag THEN l.lens[k] ELSE 0 END))) FROM l JOIN d ON d.doc_id = l.doc_id AND d.i = l.i + 1),
+    m AS MATERIALIZED (SELECT doc_id, i, lens[i] AS n FROM l),
+    top AS MATERIALIZED (SELECT doc_id, max(i) AS last FROM m JOIN (SELECT doc_id, max(n) AS n FROM m GROUP BY 1) USING (doc_id, n) GROUP BY 1),
+    back AS MATERIALIZED (SELECT m.doc_id AS grp, last - m.i + 1 AS i, last - max(p.i) + 1 AS nxt FROM m JOIN top ON top.doc_id = m.doc_id AND m.i <= last LEFT JOIN m p ON p.doc_id = m.doc_id AND p.n = m.n - 1 AND p.i < m.i GROUP BY m.doc_id, m.i, last),
+    {V.chain('back', 17, 'r')},
+    h AS (SELECT d.doc_id, pos, tag FROM d JOIN top ON top.doc_id = d.doc_id JOIN rs0 ON grp = d.doc_id AND rs0.i = last - d.i + 1)
+    SELECT h.doc_id AS sample, (row_number() OVER w - 1)::INT AS step, tag::INT AS tag, CASE WHEN row_number() OVER w = 1 THEN 0 ELSE pos END AS "start", coalesce(lead(pos) OVER w + 6, length(seq)) AS "end" FROM h JOIN contigs c ON c.doc_id = h.doc_id WINDOW w AS (PARTITION BY h.doc_id ORDER BY pos)""",
+    "contigs",
+    "tags",
+)
 def lis_filter(s, d):
     return _tiles(s, d, skip_out_of_order=True)[0].select("sample", "step", "tag", "start", "end")
 

@@ -80,13 +80,14 @@ ORDER = list(SQL)
 NEEDS = {"ref": ["calls"], "placed": ["ref"], "counts": ["calls", "ref"], "ranked": ["counts"], "numbered": ["calls", "ranked"], "carriers": ["numbered"], "spans": ["placed"]}
 
 
-def chain(nodes: str, depth: int = 17) -> str:
-    """Common table expressions that end in s0 (grp, i): the places reached from place 1 of each group of ``nodes`` (grp, i,
+def chain(nodes: str, depth: int = 17, name: str = "") -> str:
+    """Common table expressions (their names begin with ``name``) that end in s0 (grp, i): the places reached from place 1 of each group of ``nodes`` (grp, i,
     nxt) by following nxt. Pointers are doubled, so 2 ** depth steps take 2 * depth joins."""
-    out = [f"j0 AS MATERIALIZED (SELECT grp, i, nxt FROM {nodes} WHERE nxt IS NOT NULL)"]
-    out += [f"j{k} AS MATERIALIZED (SELECT a.grp, a.i, b.nxt FROM j{k - 1} a JOIN j{k - 1} b ON a.grp = b.grp AND a.nxt = b.i)" for k in range(1, depth)]
-    out.append(f"s{depth} AS MATERIALIZED (SELECT grp, i FROM {nodes} WHERE i = 1)")
-    out += [f"s{k} AS MATERIALIZED (SELECT grp, i FROM s{k + 1} UNION ALL SELECT s.grp, j.nxt FROM s{k + 1} s JOIN j{k} j ON s.grp = j.grp AND s.i = j.i)" for k in range(depth - 1, -1, -1)]
+    j, s = f"{name}j", f"{name}s"
+    out = [f"{j}0 AS MATERIALIZED (SELECT grp, i, nxt FROM {nodes} WHERE nxt IS NOT NULL)"]
+    out += [f"{j}{k} AS MATERIALIZED (SELECT a.grp, a.i, b.nxt FROM {j}{k - 1} a JOIN {j}{k - 1} b ON a.grp = b.grp AND a.nxt = b.i)" for k in range(1, depth)]
+    out.append(f"{s}{depth} AS MATERIALIZED (SELECT grp, i FROM {nodes} WHERE i = 1)")
+    out += [f"{s}{k} AS MATERIALIZED (SELECT grp, i FROM {s}{k + 1} UNION ALL SELECT x.grp, y.nxt FROM {s}{k + 1} x JOIN {j}{k} y ON x.grp = y.grp AND x.i = y.i)" for k in range(depth - 1, -1, -1)]
     return ", ".join(out)
 
 
@@ -101,6 +102,8 @@ def with_views(body: str, *names: str) -> str:
     head = ", ".join(SQL[n] for n in ORDER if n in need)
     if not head:
         return body
+    if body.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head}, {body.lstrip()[15:]}"
     if body.lstrip().upper().startswith("WITH "):
         return f"WITH {head}, {body.lstrip()[5:]}"
     return f"WITH {head} {body}"
