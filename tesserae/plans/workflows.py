@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -148,3 +149,99 @@ def compare_calls(baseline: DataFrame, calls: DataFrame, excluded: DataFrame | N
         return intervals.semi_join(spans, excluded, closed=False, how="left_anti").drop("seqname", "start", "end")
 
     return vcf.compare(inside(baseline), inside(calls)).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def gvcf_to_haplotypes(ref: DataFrame, files: list[DataFrame], preset: str = "gatk", masked: bool = True, chromosomes: list[str] | None = None, non_ref: bool = False, imputed_regions: DataFrame | None = None) -> DataFrame:
+    """Haplotypes of gVCF records (with ``sample_id``) that come in one file or in one for each chromosome.
+
+    ``chromosomes`` are the ones to keep; ``non_ref`` drops genotypes that name the placeholder allele; with
+    ``imputed_regions`` the records are phased and imputed ones, and the latter count in these regions alone.
+    """
+    records = reduce(DataFrame.unionByName, files)
+    if chromosomes:
+        records = records.where(F.col("chrom").isin(chromosomes))
+    if non_ref:
+        records = vcf.real_alleles(records)
+    if imputed_regions is not None:
+        own = [merge_phased_imputed(part.drop("sample_id"), imputed_regions).withColumn("sample_id", F.lit(name)) for name, part in _by_sample(records)]
+        records = reduce(DataFrame.unionByName, own)
+    return haplotypes_from_gvcf(ref, records, preset, masked)
+
+
+def _by_sample(records: DataFrame, most: int = 10_000) -> list[tuple[str, DataFrame]]:
+    """Records of each sample; more than ``most`` samples are refused."""
+    names = sorted(r.sample_id for r in records.select("sample_id").distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"there are more than {most} samples")
+    return [(n, records.where(F.col("sample_id") == n)) for n in names]
+
+
+def prepare_imputation(records: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Records that start outside of the excluded regions, in natural order, as a phasing program takes them."""
+    spans = records.withColumn("seqname", F.col("chrom")).withColumn("start", F.col("pos") - 1).withColumn("end", F.col("pos") - 1 + F.length("ref"))
+    kept = intervals.semi_join(spans, excluded, closed=False, how="left_anti").drop("seqname", "start", "end")
+    return kept.orderBy(*chromosome_order(F.col("chrom")), "pos")
+
+
+def imputation_to_matrix(ref: DataFrame, records: DataFrame, regions: DataFrame, tags: DataFrame, k: int = tiling.TAG_LENGTH) -> tuple[DataFrame, DataFrame]:
+    """(cells, annotations) of the tile matrix of phased and imputed records (with ``sample_id``)."""
+    contigs = gvcf_to_haplotypes(ref, [records], masked=False, imputed_regions=regions).withColumn("seq", F.lower("seq"))
+    return tile_matrix(build_library(contigs, ref, tags, k))
+
+
+def study_by_batches(batches: list[DataFrame], ref: DataFrame, tags: DataFrame, patterns: DataFrame | None = None, k: int = tiling.TAG_LENGTH, **options) -> tuple[Library, DataFrame]:
+    """(library, points): contigs imported batch by batch, put together, and tested for association (``association_study``)."""
+    libs = [build_library(b, ref, tags, k) for b in batches]
+    whole = libs[0]
+    whole.variants = library.merge_libraries(*(x.variants for x in libs))
+    whole.calls = reduce(DataFrame.unionByName, [x.calls for x in libs])
+    return whole, association_study(whole, patterns, **options)
+
+
+def matrices(lib: Library, genomes: list[str], regions: dict[str, DataFrame]) -> dict[tuple[str, str], tuple[DataFrame, DataFrame]]:
+    """(cells, annotations) for every pattern of genomes with every set of regions; lists of parameters are short."""
+    if len(genomes) * len(regions) > 10_000:
+        raise ValueError("there are more than 10000 combinations")
+    out = {}
+    for pattern in genomes:
+        own = Library(lib.tags, lib.variants, filters.match_genome(lib.calls, pattern), lib.ref_tiles, lib.ref_seqs, lib.k)
+        for name, spans in regions.items():
+            out[pattern, name] = tile_matrix(own, spans)
+    return out
+
+
+def annotated_variants(lib: Library, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, rates): the tile variants' changes as VCF records, with ids and frequencies of known alleles."""
+    records = annotate.annotation_records(tile_matrix(lib)[1]).withColumnRenamed("seqname", "chrom")
+    return annotate_records(records, known)
+
+
+def portable_records(records: DataFrame, dropped: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """(records, counts): sorted, without overlaps and without the INFO keys ``dropped``, and how the alleles compare with before."""
+    start, end = vcf.bed_interval()
+    clean = intervals.drop_overlapping(records.withColumn("start", start).withColumn("end", end), "chrom").drop("start", "end")
+    out = clean.withColumn("info", vcf.drop_info(F.col("info"), dropped)).orderBy(*chromosome_order(F.col("chrom")), "pos")
+    return out, compare_calls(records, out)
+
+
+def called_records(records: DataFrame, preset: str = "complete_genomics") -> tuple[DataFrame, DataFrame]:
+    """(records, regions): INFO repaired, called regions by the caller's settings, and the variants that lie in them."""
+    fixed = records.withColumn("info", vcf.fix_end(F.col("info")))
+    regions = materialize(intervals.called_regions(vcf.gvcf_blocks(fixed, preset), vcf.PRESETS[preset]["unreported_called"]), "called")
+    start, end = vcf.bed_interval()
+    real = vcf.variants_only(fixed)
+    spans = real.withColumn("seqname", F.col("chrom")).withColumn("start", start).withColumn("end", end)
+    return intervals.contained(spans, regions).drop("seqname", "start", "end"), regions
+
+
+def good_records(records: DataFrame, least_qual: float, least_gq: float) -> tuple[DataFrame, DataFrame]:
+    """(records, regions): records of sufficient quality, and the union of the stretches they cover."""
+    good = vcf.filter_quality(records, least_qual, least_gq)
+    start, end = vcf.bed_interval()
+    return good, intervals.merge(good.select(F.col("chrom").alias("seqname"), start.alias("start"), end.alias("end")))
+
+
+def repaired_records(files: list[DataFrame], chromosomes: list[str]) -> DataFrame:
+    """Files of single chromosomes as one, in the order of ``chromosomes``, haploid genotypes and those of the mitochondrion
+    and of the placeholder allele repaired or left out."""
+    return vcf.concat_chromosomes(vcf.mitochondrial(vcf.real_alleles(reduce(DataFrame.unionByName, files))), chromosomes)
