@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -47,14 +49,42 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
-def small(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; reads no more than are needed to know."""
-    return df.limit(limit + 1).count() <= limit
+_KEPT: list[dict] = []
 
 
-def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
-    """``df`` with a broadcast hint if it is proven to have at most ``limit`` rows, else as it is (a shuffled join)."""
-    return F.broadcast(df) if small(df, limit) else df
+def keep(*caches: dict) -> None:
+    """Say that this Python worker now fills ``caches``.
+
+    Workers outlive stages. Those of the operator that this one worked for before are emptied, and what it
+    has freed goes back to the system, so that the operators of a pipeline don't add up.
+    """
+    if len(caches) == len(_KEPT) and all(a is b for a, b in zip(caches, _KEPT)):
+        return
+    for c in _KEPT:
+        if not any(c is x for x in caches):
+            c.clear()
+    _KEPT[:] = caches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+#: Characters and array entries, as ``weight`` counts them, that may be broadcast.
+BROADCAST_WEIGHT = 1 << 27
+
+
+def small(df: DataFrame, limit: int, weight: Column | None = None) -> bool:
+    """Whether ``df`` has at most ``limit`` rows, whose ``weight`` (what varies in their size) is bounded too; reads no more
+    than are needed to know."""
+    n, total = df.limit(limit + 1).agg(F.count("*"), F.sum(F.lit(0) if weight is None else weight)).first()
+    return n <= limit and (total or 0) <= BROADCAST_WEIGHT
+
+
+def broadcast_if_small(df: DataFrame, limit: int, weight: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it is proven to be ``small``, else as it is (a shuffled join)."""
+    return F.broadcast(df) if small(df, limit, weight) else df
 
 
 def carried(carry: Sequence[str], made: Sequence[str]) -> list[str]:

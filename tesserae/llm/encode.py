@@ -7,10 +7,12 @@ import os
 import re
 from array import array
 
+from tesserae.llm.common import keep
+
 #: White space, a space, and no text after it: the space is part of a longer run.
 _RUN = re.compile(r"\s (?!\S)")
 #: Words kept by each Python worker; the rest are encoded each time.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: Letters end here for the shortcuts below; beyond, Unicode versions could differ in what a letter is.
 _LAST_LETTER = "ɏ"
 _MARKS = ".,!?;:|*$#%&"
@@ -112,6 +114,7 @@ def encoder(path: str) -> Encoder:
     """The encoder of this Python worker for ``path``."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    keep(_ENCODERS[path].first, _ENCODERS[path].later)
     return _ENCODERS[path]
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import SPACE, broadcast_if_small, carried, map_rows, named, slices, table
+from tesserae.llm.common import SPACE, broadcast_if_small, carried, keep, map_rows, named, slices, table
 
 #: Buckets for single words, and as many for pairs.
 BUCKETS = 1 << 16
@@ -37,6 +37,7 @@ def _code(word: bytes) -> int:
 
 def _words(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the words, in order, and the code of each number."""
+    keep(_CODES)
     own: dict[bytes, int] = {}
     order = np.array([own.setdefault(w, len(own)) for w in (text or "").encode().split()], np.int64)
     return order, np.array([_code(w) for w in own], np.int64)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm import windows
-from tesserae.llm.common import batches, slices, table
+from tesserae.llm.common import batches, keep, slices, table
 
 #: Words whose codes each Python worker keeps.
 CACHE_WORDS = 150_000
@@ -21,6 +21,7 @@ _SEEN: dict[bytes, int] = {}
 
 def codes_of_words(text: str) -> np.ndarray:
     """64-bit codes of the words of ``text``, the runs between ASCII white space."""
+    keep(_SEEN)
     words, seen = text.encode().split(), _SEEN
     out = np.empty(len(words), np.uint64)
     for k, w in enumerate(words):
