@@ -77,12 +77,13 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: i
     starts = found.join(broadcast_if_small(prefix, BROADCAST_ROWS), "h").where(fits).select("doc_id", "text_hash", F.struct(start.alias("start"), "n", "window").alias("c"))
     starts = materialize(starts.groupBy("doc_id", "text_hash").agg(F.collect_set("c").alias("c")), "candidates")
 
-    side = broadcast_if_small(starts.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"}), 50_000)
+    size = F.aggregate("c", F.lit(0), lambda n, c: n + 40 + F.length(c["window"]))
+    side = broadcast_if_small(starts.withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"}), 50_000, size)
     both = named.join(side, named["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
     both = both.select("doc_id", "text_hash", words_of(F.col("text")).alias("w"), "c").dropDuplicates(["doc_id", "text_hash"])
     same = F.filter("c", lambda c: F.array_join(F.slice(F.col("w"), c["start"] + 1, c["n"]), " ") == c["window"])
     hits = materialize(both.select("doc_id", "text_hash", same.alias("hits")).where(F.size("hits") > 0), "hits")
-    names = broadcast_if_small(every.select("window", F.col("item_id").cast("string").alias("item")), BROADCAST_ROWS)
+    names = broadcast_if_small(every.select("window", F.col("item_id").cast("string").alias("item")), BROADCAST_ROWS, F.length("window"))
     items_of = hits.select("doc_id", "text_hash", F.explode(F.array_distinct(F.transform("hits", lambda c: c["window"]))).alias("window")).join(names, "window")
     items_of = items_of.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("items")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     return hits.join(items_of, hits["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))).drop("_doc", "_hash")
@@ -94,7 +95,7 @@ def report(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
     places = F.flatten(F.transform("hits", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1)))
     found = found.select("_doc", "_hash", F.size(F.array_distinct(places)).cast("long").alias("n_hit"), "items")
-    both = named.join(broadcast_if_small(found, 50_000), named["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left")
+    both = named.join(broadcast_if_small(found, 50_000, F.length(F.array_join("items", " "))), named["doc_id"].eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return both.select("doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), items_.alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
 
