@@ -165,6 +165,27 @@ def test_sharding_table(spark, docs, empty):
     assert sharding.shard(empty, "doc_id", names).count() == 0
 
 
+def test_sharding_table_by_turns():
+    """The same table from whole lists of preferences."""
+    import hashlib
+
+    for n, slots in ((1, 2), (3, 7), (5, 101), (13, 13), (9, 1009)):
+        names = sharding.shard_names(n)
+        rng = random.Random(n)
+        rng.shuffle(names)
+        wishes = {}
+        for name in names:
+            offset, skip = (int(hashlib.sha256(f"{use}:{name}".encode()).hexdigest()[:16], 16) for use in ("offset", "skip"))
+            wishes[name] = [(offset + j * (skip % (slots - 1) + 1)) % slots for j in range(slots)]
+            assert sorted(wishes[name]) == list(range(slots))
+        owner = {}
+        while len(owner) < slots:
+            for name in sorted(names):
+                if len(owner) < slots:
+                    owner[next(s for s in wishes[name] if s not in owner)] = name
+        assert [names[k] for k in sharding.fill(names, slots)] == [owner[s] for s in range(slots)]
+
+
 def test_quality_measures(spark, docs, empty):
     target = spark.createDataFrame([(k,) for k in range(6, 30)] + [(None,)], "doc_id long")
     done = quality.assess(docs, target, carry=["doc_id", "text", "kept", "n_chars"])
