@@ -12,7 +12,7 @@ from tesserae.llm.common import keep
 #: White space, a space, and no text after it: the space is part of a longer run.
 _RUN = re.compile(r"\s (?!\S)")
 #: Words kept by each Python worker; the rest are encoded each time.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Letters end here for the shortcuts below; beyond, Unicode versions could differ in what a letter is.
 _LAST_LETTER = "ɏ"
 _MARKS = ".,!?;:|*$#%&"
@@ -22,12 +22,12 @@ _BYTE_CHARS = {b: chr(b) for b in _PRINTS} | {b: chr(256 + k) for k, b in enumer
 
 
 class _Cache(dict):
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encode(word)
-        if len(self) < CACHE_WORDS:
+        if len(self) < self.most:
             self[word] = ids
         return ids
 
@@ -42,7 +42,7 @@ class Encoder:
     texts to the tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -51,8 +51,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.kind = _kind(json.loads(self.tokenizer.to_str()))
         self.space = " " if self.kind == "bytes" else ""
-        self.first = _Cache(lambda word: self._word(word, self.first, ""))
-        self.later = _Cache(lambda word: self._word(word, self.later, self.space)) if self.space else self.first
+        self.first = _Cache(lambda word: self._word(word, self.first, ""), cache_words)
+        self.later = _Cache(lambda word: self._word(word, self.later, self.space), cache_words) if self.space else self.first
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -107,15 +107,16 @@ def _kind(spec: dict) -> str:
     return ""
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> Encoder:
     """The encoder of this Python worker for ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    keep(_ENCODERS[path].first, _ENCODERS[path].later)
-    return _ENCODERS[path]
+    key = path, cache_words
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, cache_words)
+    keep(_ENCODERS[key].first, _ENCODERS[key].later)
+    return _ENCODERS[key]
 
 
 def default_path(name: str) -> str:

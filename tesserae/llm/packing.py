@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import batches, slices, table
-from tesserae.llm.encode import default_path, encoder
+from tesserae.llm.encode import CACHE_WORDS, default_path, encoder
 
 #: Id that ends a document.
 END = (1).to_bytes(4, "little")
@@ -68,8 +68,8 @@ def best_fit(lengths: list[int], size: int) -> list[tuple[int, int]]:
     return placed
 
 
-def _packed(part: Iterator[pa.RecordBatch], path: str, size: int, block_tokens: int) -> Iterator[tuple]:
-    enc = encoder(path)
+def _packed(part: Iterator[pa.RecordBatch], path: str, size: int, block_tokens: int, cache_words: int) -> Iterator[tuple]:
+    enc = encoder(path, cache_words)
     base = TaskContext.get().partitionId() << 36
     held: list[tuple] = []
     tokens = 0
@@ -95,12 +95,13 @@ def _packed(part: Iterator[pa.RecordBatch], path: str, size: int, block_tokens:
         yield from flush()
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, block_tokens: int = 1 << 23) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, block_tokens: int = 1 << 23, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Pack the texts of ``docs`` into windows of ``size`` tokens.
 
     Documents longer than a window are first cut into full windows; what remains is placed by best-fit
     decreasing among the pieces of the same input partition, in blocks of ``block_tokens`` (the bound
-    on memory). Nothing is shuffled: a block leaves less than a window or so of padding behind.
+    on memory). Nothing is shuffled: a block leaves less than a window or so of padding behind. A Python worker keeps
+    the ids of ``cache_words`` words.
 
     Returns doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary). A null or empty text
     is its end id alone; repeated rows and null doc_ids are packed like any other; an empty table gives
@@ -109,7 +110,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, block_tokens: int =
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
 
     def run(part):
-        return batches(_packed(part, tokenizer, size, block_tokens), schema, weight=6)
+        return batches(_packed(part, tokenizer, size, block_tokens, cache_words), schema, weight=6)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 

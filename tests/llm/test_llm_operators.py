@@ -586,7 +586,7 @@ def test_automata_and_context_help(spark):
             a, b = rng.sample(terms, 2)
             at = rng.randrange(len(words))
             quoted.append(" ".join([*words[:at], f'the word "{a}" is an insult, the report said; so is the term "{b}", it said.', *words[at:]]))
-    assert len(wrong) > 20 and len(quoted) > 100
+    assert len(wrong) >= 15 and len(quoted) > 100
 
     def share(texts, *options):
         return sum(flagged(t, *options) for t in texts) / len(texts)
