@@ -282,6 +282,9 @@ def slice_numpy(spark, inputs: str, output: str, samples: str = "", regions: str
         table = readers.read_samples(spark, samples)
         if readers.check_samples(table).first() is not None:
             raise ValueError("the samples aren't numbered 0, 1, 2...")
+        wrong = people.misplaced(names.withColumnRenamed("sample", "sample_id"), table).orderBy("idx").first()
+        if wrong is not None:
+            raise ValueError(f"sample {wrong.idx} is {wrong.here} in the library and {wrong.there} in the samples file")
         names = table.select("idx", F.col("sample_id").alias("sample"), (F.col("case_control") == 1).alias("is_case"), (F.col("training") == 1).alias("is_training"), "training", "pca")
         names = filters.case_control_only(names) if case_control_only else names
         lib.calls = lib.calls.join(names.select("sample"), "sample", "left_semi")

@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+#: Paths below the shared folder that are still held, in the order they were made.
+_HELD: list[str] = []
 
 
 def ensure_importable(spark: SparkSession) -> None:
@@ -40,9 +42,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, removed when the driver ends."""
     path = f"{shared_root(spark)}/tesserae-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
+    _HELD.append(path)
     return path
 
 
+def held_paths() -> list[str]:
+    """The paths made by ``scratch_dir`` that haven't been released."""
+    return list(_HELD)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove ``paths`` before the driver ends; no DataFrame that is still to be read may stand on them."""
+    for path in paths:
+        _remove(spark, path)
+        if path in _HELD:
+            _HELD.remove(path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

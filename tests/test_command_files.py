@@ -82,6 +82,9 @@ def test_npy_files(spark, files, lib):
     out = root / "npy"
     (root / "samples.csv").write_text("Index,SampleID,CaseControl,TrainingValidation\n0,a,1,1\n1,b,0,1\n2,c,1,1\n3,d,0,1\n")
     run(spark, "slice-numpy", inputs=lib, output=out, samples=root / "samples.csv", single_onehot=True, pca_components=2, single_hgvs_matrix=True, chunked_hgvs_matrix=True, tags_per_file=4)
+    (root / "wrong.csv").write_text("Index,SampleID,CaseControl,TrainingValidation\n0,b,1,1\n1,a,0,1\n2,c,1,1\n3,d,0,1\n")
+    with pytest.raises(ValueError, match="sample 0 is a in the library and b in the samples file"):
+        run(spark, "slice-numpy", inputs=lib, output=root / "never", samples=root / "wrong.csv")
     cells = {(r.sample, r.tag, r.phase): r.value for r in spark.read.parquet(f"{out}/matrix").collect()}
     first, second = np.load(out / "matrix.0000.npy"), np.load(out / "matrix.0001.npy")
     assert first.dtype == np.int16 and first.shape == (4, 8) and second.shape == (4, 4)
