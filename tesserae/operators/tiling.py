@@ -139,13 +139,13 @@ def tag_index(tags: list[tuple[str, int]], k: int) -> tuple[np.ndarray, np.ndarr
     return numbers[order], np.array([n for _, n in known], np.int64)[order]
 
 
-def scan(seq: str, index: tuple[np.ndarray, np.ndarray], k: int, piece: int = PIECE) -> list[tuple[int, int]]:
+def scan(seq: str, index: tuple[np.ndarray, np.ndarray] | dict[str, int], k: int, piece: int = PIECE) -> list[tuple[int, int]]:
     """(tag, pos) found from the left; the window is cleared by a hit and by anything but a, c, g and t.
 
-    All windows of a piece become numbers and are looked up in the sorted index together, so that only the hits are
-    taken one by one.
+    All windows of a piece become numbers and are looked up in the sorted index (of ``tag_index``, or made here from a few
+    tags by their bases) together, so that only the hits are taken one by one.
     """
-    numbers, tags = index
+    numbers, tags = tag_index(list(index.items()), k) if isinstance(index, dict) else index
     out, end = [], 0
     if not len(numbers) or len(seq) < k:
         return out
