@@ -6,15 +6,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _pieces(lengths: list[int]) -> Column:
+    """The different substrings of ``name`` that are of one of ``lengths``."""
+    name = F.col("name").cast("string")
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda k: k <= F.length(name))
+    every = F.transform(fitting, lambda k: F.transform(F.sequence(F.lit(1), F.length(name) - k + 1), lambda at: name.substr(at, k)))
+    return F.array_distinct(F.flatten(every))
+
+
 def match_patterns(names: DataFrame, patterns: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
     """(name, pattern, status) of every name that contains a pattern.
 
-    Containment has no equi-key, so the patterns, a list of samples at most, are broadcast up to
-    ``broadcast_rows``; more than that are refused.
+    Substrings of a name that are as long as any pattern are joined with the patterns by equality, so the work grows with the
+    names, how long they are and what is found. Up to ``broadcast_rows`` patterns are broadcast, more are shuffled.
+    A null name or pattern matches nothing, an empty pattern all names; equal rows each count.
     """
-    if patterns.limit(broadcast_rows + 1).count() > broadcast_rows:
-        raise ValueError(f"more than {broadcast_rows} patterns")
-    return names.join(F.broadcast(patterns), F.col("name").contains(F.col("pattern")))
+    n, lengths = patterns.agg(F.count("*"), F.collect_set(F.length(F.col("pattern").cast("string")))).first()
+    side = F.broadcast(patterns) if n <= broadcast_rows else patterns
+    found = names.withColumn("_piece", F.explode(_pieces(lengths))).join(side, F.col("_piece") == F.col("pattern").cast("string"))
+    return found.drop("_piece")
 
 
 def case_control(names: DataFrame, patterns: DataFrame | None) -> DataFrame:
