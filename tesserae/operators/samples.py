@@ -27,6 +27,14 @@ def match_patterns(names: DataFrame, patterns: DataFrame, broadcast_rows: int =
     return found.drop("_piece")
 
 
+def _tally(names: DataFrame, patterns: DataFrame, *greatest: str) -> DataFrame:
+    """(name, n, ...) of the names with a pattern in them: how many pairs of a row of the name and a row of a pattern
+    there are, and the greatest of the columns named. Equal names, and equal patterns, are counted before they meet."""
+    few = names.groupBy("name").agg(F.count("*").alias("_names"))
+    held = patterns.groupBy("pattern").agg(F.count("*").alias("_patterns"), *(F.max(c).alias(c) for c in greatest))
+    return match_patterns(few, held).groupBy("name").agg(F.sum(F.col("_names") * F.col("_patterns")).alias("n"), *(F.max(c).alias(c) for c in greatest))
+
+
 def case_control(names: DataFrame, patterns: DataFrame | None) -> DataFrame:
     """(name, case_control): 1 or 0 of the one pattern a name contains.
 
@@ -35,7 +43,7 @@ def case_control(names: DataFrame, patterns: DataFrame | None) -> DataFrame:
     """
     if patterns is None:
         return names.select("name", F.lit(0).alias("case_control"))
-    found = match_patterns(names, patterns).groupBy("name").agg(F.count("*").alias("n"), F.max("status").alias("status"))
+    found = _tally(names, patterns, "status")
     status = F.when((F.col("n") == 1) & F.col("status").isin("0", "1"), F.col("status").cast("int"))
     return names.select("name").join(found, "name", "left").select("name", status.alias("case_control"))
 

@@ -36,3 +36,39 @@ def test_every_name_with_every_pattern_in_it(spark, broadcast_rows):
     assert ordered(found.collect()) == ordered(pairs())
     assert "NestedLoop" not in plan(found)
     assert people.match_patterns(names, patterns.limit(0), broadcast_rows).count() == 0
+
+
+def met(df):
+    """Rows of names and patterns that meet in ``df``, by its executed plan."""
+    df.collect()
+    steps, found = [df._jdf.queryExecution().executedPlan()], []
+    while steps:
+        step = steps.pop()
+        if step.nodeName() == "AdaptiveSparkPlan":
+            steps.append(step.executedPlan())
+        elif step.nodeName().endswith("QueryStage"):
+            steps.append(step.plan())
+        if "Join" in step.nodeName() and "_piece" in step.toString().split("\n")[0]:
+            found.append(step.metrics().apply("numOutputRows").value())
+        steps += [step.children().apply(k) for k in range(step.children().size())]
+    assert len(found) == 1
+    return found[0]
+
+
+def copies(spark):
+    """Names and patterns, each row twice more."""
+    names, patterns = tables(spark)
+    return names.unionByName(names).unionByName(names), patterns.unionByName(patterns).unionByName(patterns)
+
+
+def test_case_control_counts_equal_patterns_once(spark):
+    expected = []
+    for n in NAMES:
+        held = [p for m, p, s, _ in pairs() if m == n]
+        status = {s for m, _, s, _ in pairs() if m == n}
+        expected.append((n, int(*status) if len(held) == 1 and status <= {"0", "1"} else None))
+    assert ordered(people.case_control(*tables(spark)).collect()) == ordered(expected)
+    assert any(status is not None for _, status in expected)
+    many = people.case_control(*copies(spark))
+    assert met(many) == len({(n, p) for n, p, _, _ in pairs()})
+    assert ordered(many.collect()) == ordered([(n, None) for n in NAMES] * 3)
