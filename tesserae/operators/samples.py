@@ -50,7 +50,7 @@ def case_control(names: DataFrame, patterns: DataFrame | None) -> DataFrame:
 
 def case_flags(names: DataFrame, patterns: DataFrame) -> DataFrame:
     """(name, is_case, n): a case contains a pattern; n over 1 is an ambiguity the caller should refuse."""
-    found = match_patterns(names, patterns).groupBy("name").agg(F.count("*").alias("n"))
+    found = _tally(names, patterns)
     return names.select("name").join(found, "name", "left").select("name", F.col("n").isNotNull().alias("is_case"), F.coalesce("n", F.lit(0)).alias("n"))
 
 

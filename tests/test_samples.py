@@ -72,3 +72,11 @@ def test_case_control_counts_equal_patterns_once(spark):
     many = people.case_control(*copies(spark))
     assert met(many) == len({(n, p) for n, p, _, _ in pairs()})
     assert ordered(many.collect()) == ordered([(n, None) for n in NAMES] * 3)
+
+
+def test_case_flags_counts_equal_patterns_once(spark):
+    held = [sum(1 for m, *_ in pairs() if m == n) for n in NAMES]
+    assert ordered(people.case_flags(*tables(spark)).collect()) == ordered([(n, k > 0, k) for n, k in zip(NAMES, held)])
+    many = people.case_flags(*copies(spark))
+    assert met(many) == len({(n, p) for n, p, _, _ in pairs()})
+    assert ordered(many.collect()) == ordered([(n, k > 0, 9 * k) for n, k in zip(NAMES, held)] * 3)
