@@ -60,9 +60,11 @@ def unused_patterns(names: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def phenotype(names: DataFrame, table: DataFrame) -> DataFrame:
-    """(name, value): the last row (greatest ``line``) of ``table`` whose pattern the name contains."""
-    found = match_patterns(names, table).groupBy("name").agg(F.max_by("value", "line").alias("value"))
-    return names.select("name").join(found, "name", "left")
+    """(name, value): the last row (greatest ``line``) of ``table`` whose pattern the name contains; of equal lines the
+    greatest value, and rows without a line are passed over. Of equal patterns only the last row meets the names, each once."""
+    last = table.where("line is not null").groupBy("pattern").agg(F.max(F.struct("line", "value")).alias("last"))
+    found = match_patterns(names.select("name").distinct(), last).groupBy("name").agg(F.max("last").alias("last"))
+    return names.select("name").join(found, "name", "left").select("name", F.col("last.value").alias("value"))
 
 
 def training_split(samples: DataFrame, size: float = 0.8, seed: int = 0, order: Column | None = None) -> DataFrame:

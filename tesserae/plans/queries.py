@@ -1025,7 +1025,7 @@ def case_flags(s, d):
 @query("phenotype", "SELECT c_name AS name, max_by(s_name, s_suppkey) AS value FROM customer LEFT JOIN supplier ON contains(c_name, lpad(s_suppkey::VARCHAR, 3, '0')) GROUP BY 1")
 def phenotype(s, d):
     rows = V.table(s, d, "supplier").select(F.lpad(F.col("s_suppkey").cast("string"), 3, "0").alias("pattern"), F.col("s_suppkey").alias("line"), F.col("s_name").alias("value"))
-    return people.phenotype(_names(s, d), rows)
+    return people.phenotype(_names(s, d).distinct(), rows)
 
 
 @query("train_split", "WITH e AS (SELECT c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE (c_custkey % 2)::INT END AS case_control FROM customer), r AS (SELECT name, row_number() OVER (ORDER BY md5(name), name) AS i, count(*) OVER () AS n FROM e WHERE case_control IS NOT NULL) SELECT e.name, case_control, CASE WHEN i IS NULL THEN NULL WHEN i <= trunc(0.8::DOUBLE * n) THEN 1 ELSE 0 END AS training FROM e LEFT JOIN r USING (name)")

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from tesserae.operators import samples as people
+from tesserae.plans import queries
 
 RNG = random.Random(4)
 NAMES = [None, "", "a", "éa", "aaaa", "S#001", "S#001", "日本b", *("".join(RNG.choices("abé#", k=k % 9)) for k in range(60))]
@@ -80,3 +81,21 @@ def test_case_flags_counts_equal_patterns_once(spark):
     many = people.case_flags(*copies(spark))
     assert met(many) == len({(n, p) for n, p, _, _ in pairs()})
     assert ordered(many.collect()) == ordered([(n, k > 0, 9 * k) for n, k in zip(NAMES, held)] * 3)
+
+
+def test_phenotype_takes_the_last_line(spark):
+    names, patterns = tables(spark)
+    table = patterns.withColumnRenamed("status", "value")
+    lines = [max(((line, value) for m, _, value, line in pairs() if m == n and line is not None), default=(None, None)) for n in NAMES]
+    assert ordered(people.phenotype(names, table).collect()) == ordered((n, value) for n, (_, value) in zip(NAMES, lines))
+    rows, patterns = copies(spark)
+    many = people.phenotype(rows, patterns.withColumnRenamed("status", "value"))
+    assert met(many) == len({(n, p) for n, p, _, line in pairs() if line is not None})
+    assert ordered(many.collect()) == ordered([(n, value) for n, (_, value) in zip(NAMES, lines)] * 3)
+
+
+def test_phenotype_query_has_each_name_once(spark, tmp_path):
+    spark.createDataFrame([("Customer#001",), ("Customer#001",), ("none",), (None,), (None,)], "c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "first"), (10, "second")], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = queries.QUERIES["phenotype"](spark, str(tmp_path))
+    assert ordered(found.collect()) == ordered([("Customer#001", "first"), ("none", None), (None, None)])
