@@ -29,18 +29,20 @@ def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
     return np.array([hash_of(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())], "<u8")
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """Signed 64-bit SimHash of the text's word shingles, each counted as often as it occurs."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    hashes = shingle_hashes(words, shingle)
+def print_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash: the bits that over half of ``hashes``, repeats included, have set."""
     set_in = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 14):
         set_in += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(2 * set_in > len(hashes), bitorder="little").view("<i8").item()
 
 
+def fingerprint(text: str | None, shingle: int) -> int:
+    """Signed 64-bit SimHash of the text's word shingles, each counted as often as it occurs."""
+    words = (text or "").encode().lower().split()
+    return print_of(shingle_hashes(words, shingle)) if words else 0
+
+
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, text_hash, fp of every row."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tesserae.llm import near_copies, simhash
 
 
@@ -62,3 +63,17 @@ def test_near_copies_of_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == least_of_components(rows)
+
+
+def test_prints_propose_pairs_that_shingles_decide(spark, monkeypatch):
+    """Without any band, texts whose prints are alike are linked if their shingles are similar, and only then."""
+    rng = random.Random(5)
+    base = [f"word{rng.randrange(500)}" for _ in range(600)]
+    often = [f"often{k}" for k in range(7)] * 200
+    texts = [" ".join(base), " ".join([*base[:-1], "end"]), " ".join([*often, "one", "two", "three"]), " ".join([*often, "four", "five", "six"]), "some other text of nine words, not of ten"]
+    assert bin((simhash.fingerprint(texts[2], 5) ^ simhash.fingerprint(texts[3], 5)) % 2**64).count("1") <= near_copies.PRINT_BITS
+    assert jaccard(texts[0], texts[1]) > 0.8 > jaccard(texts[2], texts[3])
+    whole = near_copies.prints
+    monkeypatch.setattr(near_copies, "prints", lambda docs: whole(docs).withColumn("keys", F.array().cast("array<long>")))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 2, 3, 4]
