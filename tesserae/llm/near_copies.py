@@ -114,7 +114,8 @@ def connected(rows: DataFrame, docs: DataFrame) -> DataFrame:
     met = materialize(index.groupBy("fp").agg(F.sum("n").alias("company")), "met")
     # one row of each text that met another
     company = met.select("fp").unionByName(prints_alike.select(F.explode(F.array("u", "v")).alias("fp")))
-    chosen = rows.join(company.distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    # copies are made one before they are shuffled for the join; a semi-join would be pushed below that
+    chosen = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).join(company.distinct(), "fp")
     chosen = materialize(chosen.select(F.col("k.doc_id").alias("_doc"), F.col("k.text_hash").alias("_hash")), "chosen")
     side = broadcast_if_small(chosen, BROADCAST_ROWS)
     keyed = _keyed(docs)
